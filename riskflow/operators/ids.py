@@ -34,9 +34,13 @@ def _range_buckets(df: DataFrame, order: str, buckets: int) -> DataFrame:
     """
     ordered = df.withColumn(_ORDER, F.col(order).cast("double"))
     probabilities = [i / buckets for i in range(1, buckets)]
+    # Distinct, because Bucketizer wants rising splits; none for an empty frame.
     bounds = sorted(set(ordered.approxQuantile(_ORDER, probabilities, 0.5 / buckets)))
+    if not bounds:
+        return ordered.withColumn(_BUCKET, F.lit(0))
     splits = [float("-inf"), *bounds, float("inf")]
-    return Bucketizer(splits=splits, inputCol=_ORDER, outputCol=_BUCKET).transform(ordered)
+    bucketizer = Bucketizer(splits=splits, inputCol=_ORDER, outputCol=_BUCKET)
+    return bucketizer.transform(ordered).withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
 
 
 def assign_ids(
@@ -62,10 +66,7 @@ def assign_ids(
 
     kept = records.where(~_is_unassigned(key)).withColumn(output, F.col(key).cast("bigint"))
     fresh = records.where(_is_unassigned(key))
-    if buckets == 1:
-        bucketed = fresh.withColumns({_ORDER: F.col(order).cast("double"), _BUCKET: F.lit(0.0)})
-    else:
-        bucketed = _range_buckets(fresh, order, buckets)
+    bucketed = _range_buckets(fresh, order, buckets)
 
     # One row per bucket, so at most ``buckets`` rows pass this single-task window.
     ahead = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)

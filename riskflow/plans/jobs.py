@@ -6,22 +6,33 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from riskflow.functions.hashing import in_fraction
 from riskflow.operators.balance import with_class_weights
 from riskflow.operators.encode import training_set
 from riskflow.operators.ids import assign_ids
 from riskflow.operators.metrics import evaluate_hard, evaluate_raw
-from riskflow.operators.split import hash_split
 from riskflow.operators.train import train_forest, train_gbt, train_svc
 from riskflow.operators.upsert import upsert_by_key
 from riskflow.operators.validate import accepted_records, rejected_records, tag_records
 from riskflow.operators.verdict import verdicts
-from riskflow.schema import FORM_RULES, ID, INTAKE_COLUMNS, Rule
-from riskflow.sources.readers import scan_records
+from riskflow.schema import FORM_RULES, ID, INTAKE_COLUMNS, TRAIN_FRACTION, Rule
+from riskflow.sources.readers import load_model, scan_records
 from riskflow.sources.writers import save_model
 from riskflow.workspace import ensure_checkpoint_dir, run_dir
 
+TRAINING_TABLE = T.StructType(
+    [
+        T.StructField(ID, T.LongType()),
+        T.StructField("features", VectorUDT()),
+        T.StructField("label", T.DoubleType()),
+        T.StructField("side", T.StringType()),
+    ]
+)
 TRAINERS = {"forest": train_forest, "gbt": train_gbt, "svc": train_svc}
 
 
@@ -30,18 +41,24 @@ class TrainedModel:
     model: Model
     path: str
     hard: dict[str, float]
-    raw: dict[str, float]
+    raw: dict[str, float] | None = None
 
 
-def prepared_training_table(spark: SparkSession, records: DataFrame) -> DataFrame:
-    """Encoded, weighted training records, written once and read back.
+def prepared_training_table(
+    spark: SparkSession, records: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """``(train, test)``: encoded, weighted records from a table with one folder per side.
 
-    Every fit and evaluation starts from this table.  It outlives lost
-    executors, needs no executor memory, and cuts the lineage to the source.
+    The source is read once, to write the table; every fit and evaluation reads
+    its own folder and nothing else.  The table outlives lost executors, needs
+    no executor memory, and cuts the lineage.  The weights stay a subquery over
+    its label column, both sides together.
     """
     path = f"{run_dir(spark, 'training')}/set"
-    with_class_weights(training_set(records)).write.parquet(path)
-    return spark.read.parquet(path)
+    side = F.when(in_fraction(ID, fraction, seed), "train").otherwise("test")
+    training_set(records).withColumn("side", side).write.partitionBy("side").parquet(path)
+    table = with_class_weights(spark.read.schema(TRAINING_TABLE).parquet(path))
+    return table.where(F.col("side") == "train"), table.where(F.col("side") == "test")
 
 
 def train_job(
@@ -51,15 +68,24 @@ def train_job(
     kinds: Sequence[str] = ("forest", "gbt"),
     options: Mapping[str, dict] | None = None,
     seed: int = 42,
+    raw_areas: bool = False,
 ) -> dict[str, TrainedModel]:
-    """Fit on 70 % of the records, evaluate on the rest, then save each model under ``out``."""
+    """Fit on 70 % of the records, evaluate on the rest, then save each model under ``out``.
+
+    Evaluated is the model as read back from a first copy: what serving will
+    load, without the training summary, which would pull the session into
+    every scoring task.  ``raw_areas`` adds the areas over the continuous
+    score; they sort the whole test side.
+    """
     ensure_checkpoint_dir(spark)
-    train, test = hash_split(prepared_training_table(spark, records), seed=seed)
+    fresh = run_dir(spark, "fitted")
+    train, test = prepared_training_table(spark, records, seed=seed)
     trained = {}
     for kind in kinds:
-        model = TRAINERS[kind](train, **(options or {}).get(kind, {}))
+        save_model(TRAINERS[kind](train, **(options or {}).get(kind, {})), f"{fresh}/{kind}")
+        model = load_model(kind, f"{fresh}/{kind}")
         tested = model.transform(test)
-        hard, raw = evaluate_hard(tested), evaluate_raw(tested)
+        hard, raw = evaluate_hard(tested), evaluate_raw(tested) if raw_areas else None
         path = f"{out}/{kind}"
         save_model(model, path)
         trained[kind] = TrainedModel(model, path, hard, raw)
@@ -85,21 +111,25 @@ def score_batch(
 ) -> IntakeResult:
     """Validate, number, store and score one batch of submissions.
 
-    ``order`` is the unique arrival number.  The numbered records are written
-    first, so ids never change afterwards; the next state of the store goes to
-    a new folder under ``out``, and the store that was read stays as it is.
+    ``order`` is the unique arrival number.  The submissions are parsed once,
+    to write the accepted ones; numbering then reads columns of that table.
+    The numbered records are written too, so that storing and scoring see the
+    same ids.  The next state of the store goes to a new folder under ``out``;
+    the store that was read stays as it is.
     """
+    steps = ("accepted", "rejected", "numbered", "store", "verdicts")
+    paths = {name: f"{out}/{name}" for name in steps}
     tagged = tag_records(submitted, rules)
-    accepted = accepted_records(tagged)
-    in_use = store.select(ID).unionByName(accepted.select(ID))
-    numbered = assign_ids(accepted, in_use, order)
-    paths = {name: f"{out}/{name}" for name in ("accepted", "rejected", "store", "verdicts")}
-    numbered.select(*INTAKE_COLUMNS, order).write.parquet(paths["accepted"])
+    accepted_records(tagged).write.parquet(paths["accepted"])
     rejected_records(tagged).write.parquet(paths["rejected"])
 
-    landed = spark.read.parquet(paths["accepted"])
-    upsert_by_key(store.select(*INTAKE_COLUMNS), landed, [order]).write.parquet(paths["store"])
-    verdicts(landed, models).write.parquet(paths["verdicts"])
+    accepted = spark.read.parquet(paths["accepted"]).select(*INTAKE_COLUMNS, order)
+    in_use = store.select(ID).unionByName(accepted.select(ID))
+    assign_ids(accepted, in_use, order).write.parquet(paths["numbered"])
+
+    numbered = spark.read.parquet(paths["numbered"])
+    upsert_by_key(store.select(*INTAKE_COLUMNS), numbered, [order]).write.parquet(paths["store"])
+    verdicts(numbered, models).write.parquet(paths["verdicts"])
     return IntakeResult(
         verdicts=spark.read.parquet(paths["verdicts"]),
         stored=scan_records(spark, paths["store"]),

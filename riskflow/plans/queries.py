@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -340,7 +341,7 @@ def _landed(spark: SparkSession, records: DataFrame, root: str) -> DataFrame:
     """The records written to a folder, then read from it as a stream."""
     records.write.parquet(f"{root}/landing")
     return readers.read_intake_stream(
-        spark, f"{root}/landing", records.schema, max_bytes="64g"
+        spark, f"{root}/landing", records.schema, max_bytes=64 * 2**30
     )
 
 
@@ -376,28 +377,25 @@ MODEL_OPTIONS = {
     "gbt": {"iterations": 5, "depth": 5},
     "svc": {"iterations": 50},
 }
-_trained: dict[tuple[str, str], dict[str, str]] = {}
+ENSEMBLE = ("forest", "gbt")
+_trained: dict[tuple[str, str, tuple[str, ...]], dict[str, str]] = {}
 
 
-def _model_paths(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+def _model_paths(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> dict[str, str]:
     """Where this application saved the models it trained on ``sf_dir``."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, kinds)
     if key not in _trained:
-        trained = train_job(
-            spark,
-            views.intake(spark, sf_dir),
-            run_dir(spark, "models"),
-            kinds=tuple(MODEL_OPTIONS),
-            options=MODEL_OPTIONS,
-        )
+        records = views.intake(spark, sf_dir)
+        out = run_dir(spark, "models")
+        trained = train_job(spark, records, out, kinds=kinds, options=MODEL_OPTIONS)
         _trained[key] = {kind: fitted.path for kind, fitted in trained.items()}
     return _trained[key]
 
 
 def fitted_models(
-    spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("forest", "gbt")
-) -> dict:
-    paths = _model_paths(spark, sf_dir)
+    spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ENSEMBLE
+) -> dict[str, Model]:
+    paths = _model_paths(spark, sf_dir, kinds)
     return {kind: readers.load_model(kind, paths[kind]) for kind in kinds}
 
 
@@ -414,7 +412,7 @@ def score_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_dir(spark, 'model-copy')}/forest"
-    writers.save_model(fitted_models(spark, sf_dir, ("forest",))["forest"], path)
+    writers.save_model(fitted_models(spark, sf_dir)["forest"], path)
     loaded = {"forest": readers.load_model("forest", path)}
     return score.score(encode.encode(_complete(spark, sf_dir)), loaded).select(
         "id", "forest_positive", "forest_confidence"

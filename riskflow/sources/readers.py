@@ -42,7 +42,7 @@ def read_intake_stream(
     path: str,
     schema: StructType = INTAKE,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Records as they land in ``path`` (a folder, or a glob).
 
