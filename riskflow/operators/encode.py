@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.encoding import feature_columns
+from riskflow.operators.validate import drop_incomplete
 from riskflow.schema import ID, SERVING_SPEC, TARGET, TRAINING_SPEC, EncodingSpec
 
 FEATURES = "features"
@@ -58,6 +59,6 @@ def training_set(
 
     The label travels in its row; nothing is collected or matched by position.
     """
-    return encode(labelled_set(records.na.drop(how="any"), target), spec).select(
+    return encode(labelled_set(drop_incomplete(records), target), spec).select(
         key, FEATURES, "label"
     )

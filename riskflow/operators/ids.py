@@ -32,7 +32,10 @@ def _range_buckets(df: DataFrame, order: str, buckets: int) -> DataFrame:
     The bounds are approximate quantiles, but once taken they are literals of
     the plan: every pass, and every recomputed task, puts a row in the same bucket.
     """
-    ordered = df.withColumn(_ORDER, F.col(order).cast("double"))
+    missing = F.raise_error(F.lit(f"a record to be numbered has no {order}")).cast("double")
+    ordered = df.withColumn(_ORDER, F.coalesce(F.col(order).cast("double"), missing))
+    if buckets == 1:
+        return ordered.withColumn(_BUCKET, F.lit(0))
     probabilities = [i / buckets for i in range(1, buckets)]
     # Distinct, because Bucketizer wants rising splits; none for an empty frame.
     bounds = sorted(set(ordered.approxQuantile(_ORDER, probabilities, 0.5 / buckets)))

@@ -108,4 +108,11 @@ def count_reasons(tagged: DataFrame) -> DataFrame:
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    return df.na.drop(how="any")
+    """Rows without null or NaN; the null tests are pushed into the file scan."""
+    condition = F.lit(True)
+    for field in df.schema:
+        column = F.col(f"`{field.name}`")
+        condition = condition & column.isNotNull()
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            condition = condition & ~F.isnan(column)
+    return df.where(condition)
