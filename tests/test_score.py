@@ -82,9 +82,11 @@ def test_verdict_is_the_more_confident_side(complete, models):
         assert row.positive == (row.forest_positive if forest_wins else row.gbt_positive)
 
 
-def test_models_learn_the_label(spark, sf_dir, models):
-    _, test = hash_split(training_set(views.intake(spark, sf_dir)))
-    for model in models.values():
+def test_models_learn_the_label(spark):
+    """At sf0.01; the smallest tables have too few positive records to learn from."""
+    larger = "/root/testdata/sf0.01"
+    _, test = hash_split(training_set(views.intake(spark, larger)))
+    for model in queries.fitted_models(spark, larger).values():
         assert evaluate_hard(model.transform(test))["auroc"] > 0.8
 
 
