@@ -1,63 +1,78 @@
-"""Column functions that turn one field into feature values."""
+"""Expressions that turn one field into feature values.
+
+Each comes as SQL text (``*_sql``), to be put together into wide expressions,
+and as a Column.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from riskflow.functions.sqltext import case, literal, literals, quoted
 from riskflow.schema import CATCH_ALL, ERROR, Binary, EncodingSpec, Numeric, OneHot
 
 
-def _flag(condition: Column) -> Column:
-    return F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0))
+def _flag(condition: str) -> str:
+    return case([(condition, "1.0D")], "0.0D")
 
 
-def _refuse(field: str, column: Column, result_type: str) -> Column:
-    shown = F.coalesce(column.cast("string"), F.lit("null"))
-    return F.raise_error(F.concat(F.lit(f"cannot encode {field}: "), shown)).cast(result_type)
+def _refuse(field: str, result_type: str) -> str:
+    shown = f"coalesce(CAST({quoted(field)} AS STRING), 'null')"
+    message = f"concat({literal(f'cannot encode {field}: ')}, {shown})"
+    return f"CAST(raise_error({message}) AS {result_type})"
 
 
-def encode_numeric(field: str) -> Column:
+def numeric_sql(field: str) -> str:
     """The number as double.  A null fails: the vector type would read it as 0.0."""
-    column = F.col(field)
-    return F.coalesce(column.cast("double"), _refuse(field, column, "double"))
+    return f"coalesce(CAST({quoted(field)} AS DOUBLE), {_refuse(field, 'DOUBLE')})"
 
 
-def encode_binary(field: str, mapping: dict[str, float], unknown: str | float = ERROR) -> Column:
+def binary_sql(field: str, mapping: dict[str, float], unknown: str | float = ERROR) -> str:
     """The mapped value of a category; all others (null too) follow ``unknown``."""
-    column = F.col(field)
-    result = None
-    for category, value in mapping.items():
-        branch = F.when if result is None else result.when
-        result = branch(column == category, F.lit(float(value)))
-    other = _refuse(field, column, "double") if unknown == ERROR else F.lit(float(unknown))
-    return result.otherwise(other)
+    branches = [
+        (f"{quoted(field)} = {literal(category)}", literal(float(value)))
+        for category, value in mapping.items()
+    ]
+    other = _refuse(field, "DOUBLE") if unknown == ERROR else literal(float(unknown))
+    return case(branches, other)
 
 
-def encode_one_hot(field: str, vocabulary: tuple[str, ...], unknown: str = ERROR) -> list[Column]:
-    """One 0/1 column per vocabulary entry, and a last one for the rest under ``CATCH_ALL``."""
-    column = F.col(field)
-    known = column.isin(*vocabulary)
+def one_hot_sql(field: str, vocabulary: tuple[str, ...], unknown: str = ERROR) -> list[str]:
+    """One 0/1 value per vocabulary entry, and a last one for the rest under ``CATCH_ALL``."""
+    column = quoted(field)
+    known = f"{column} IN ({literals(vocabulary)})"
     if unknown == CATCH_ALL:
-        return [_flag(column == entry) for entry in vocabulary] + [
-            F.when(known, F.lit(0.0)).otherwise(F.lit(1.0))
-        ]
+        slots = [_flag(f"{column} = {literal(entry)}") for entry in vocabulary]
+        return [*slots, case([(known, "0.0D")], "1.0D")]
     # Each slot tests the checked value, so that no slot can be read unchecked;
     # the common subexpression is evaluated once per row.
-    checked = F.when(known, column).otherwise(_refuse(field, column, "string"))
-    return [_flag(checked == entry) for entry in vocabulary]
+    checked = case([(known, column)], _refuse(field, "STRING"))
+    return [_flag(f"{checked} = {literal(entry)}") for entry in vocabulary]
+
+
+def encode_numeric(field: str) -> Column:
+    return F.expr(numeric_sql(field))
+
+
+def encode_binary(field: str, mapping: dict[str, float], unknown: str | float = ERROR) -> Column:
+    return F.expr(binary_sql(field, mapping, unknown))
+
+
+def encode_one_hot(field: str, vocabulary: tuple[str, ...], unknown: str = ERROR) -> list[Column]:
+    return [F.expr(slot) for slot in one_hot_sql(field, vocabulary, unknown)]
 
 
-def feature_columns(spec: EncodingSpec) -> list[Column]:
-    """All feature values of ``spec``, one double column each, in layout order."""
-    columns: list[Column] = []
+def feature_sql(spec: EncodingSpec) -> list[str]:
+    """All feature values of ``spec``, one double expression each, in layout order."""
+    values: list[str] = []
     for part in spec.parts:
         if isinstance(part, Numeric):
-            columns.append(encode_numeric(part.field))
+            values.append(numeric_sql(part.field))
         elif isinstance(part, Binary):
-            columns.append(encode_binary(part.field, dict(part.mapping), part.unknown))
+            values.append(binary_sql(part.field, dict(part.mapping), part.unknown))
         elif isinstance(part, OneHot):
-            columns.extend(encode_one_hot(part.field, part.vocabulary, part.unknown))
+            values.extend(one_hot_sql(part.field, part.vocabulary, part.unknown))
         else:
             raise TypeError(f"no encoding for {part!r}")
-    return columns
+    return values

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.functions.encoding import feature_columns
+from riskflow.functions.encoding import feature_sql
 from riskflow.operators.validate import drop_incomplete
 from riskflow.schema import ID, SERVING_SPEC, TARGET, TRAINING_SPEC, EncodingSpec
 
@@ -15,7 +15,8 @@ FEATURES = "features"
 
 def encode(df: DataFrame, spec: EncodingSpec = SERVING_SPEC, output: str = FEATURES) -> DataFrame:
     """Adds the dense feature vector."""
-    return df.withColumn(output, array_to_vector(F.array(*feature_columns(spec))))
+    values = F.expr(f"array({', '.join(feature_sql(spec))})")
+    return df.withColumn(output, array_to_vector(values))
 
 
 def feature_names(spec: EncodingSpec) -> list[str]:
@@ -24,17 +25,18 @@ def feature_names(spec: EncodingSpec) -> list[str]:
 
 def encode_wide(df: DataFrame, keep: list[str], spec: EncodingSpec = SERVING_SPEC) -> DataFrame:
     """``keep`` and one scalar double column per feature (``f00``, ``f01``, ...)."""
-    named = [
-        column.alias(name) for column, name in zip(feature_columns(spec), feature_names(spec))
-    ]
-    return df.select(*keep, *named)
+    named = [f"{value} AS {name}" for value, name in zip(feature_sql(spec), feature_names(spec))]
+    return df.selectExpr(*keep, *named)
 
 
 def feature_ranges(df: DataFrame, spec: EncodingSpec = SERVING_SPEC) -> DataFrame:
     """One row: smallest and largest value of every feature, from one scan."""
-    names = feature_names(spec)
-    bounds = [f(name).alias(f"{name}_{f.__name__}") for name in names for f in (F.min, F.max)]
-    return encode_wide(df, [], spec).agg(*bounds)
+    bounds = [
+        f"{bound}({name}) AS {name}_{bound}"
+        for name in feature_names(spec)
+        for bound in ("min", "max")
+    ]
+    return encode_wide(df, [], spec).selectExpr(*bounds)
 
 
 def vector_widths(encoded: DataFrame, features: str = FEATURES) -> DataFrame:

@@ -10,32 +10,38 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.sqltext import case, literal, literals, quoted
 from riskflow.schema import FORM_RULES, ID, INTAKE, UNASSIGNED_ID, Rule
 
 REASON = "reason"
 _STEP_TOLERANCE = 1e-9
 
 
-def _bound(name: str, schema: T.StructType) -> Column:
-    return F.col(name).try_cast(schema[name].dataType)
+def _bound(name: str, schema: T.StructType) -> str:
+    """The field as its type; null where the text does not fit it."""
+    wanted = schema[name].dataType
+    return f"try_cast({quoted(name)} AS {wanted.simpleString()})"
 
 
-def _is_broken(rule: Rule, schema: T.StructType) -> Column:
-    raw, value = F.col(rule.field), _bound(rule.field, schema)
+def _broken(rule: Rule, schema: T.StructType) -> str | None:
+    """SQL condition under which a record breaks the rule; None if it never can."""
+    raw, value = quoted(rule.field), _bound(rule.field, schema)
+    wanted = schema[rule.field].dataType
     if rule.kind == "required":
-        absent = raw.isNull()
-        if isinstance(schema[rule.field].dataType, T.StringType):
-            return absent | (raw.cast("string") == "")
-        return absent
+        empty = f" OR {raw} = ''" if isinstance(wanted, T.StringType) else ""
+        return f"{raw} IS NULL{empty}"
     if rule.kind == "type":
-        return raw.isNotNull() & value.isNull()
+        # Any value is a string.
+        return None if isinstance(wanted, T.StringType) else f"{raw} IS NOT NULL AND {value} IS NULL"
     if rule.kind == "range":
-        return ~value.between(rule.low, rule.high)
+        return f"{value} NOT BETWEEN {literal(rule.low)} AND {literal(rule.high)}"
     if rule.kind == "domain":
-        return ~value.isin(*rule.values)
+        return f"{value} NOT IN ({literals(rule.values)})"
     if rule.kind == "step":
-        steps = (value.cast("double") - F.lit(float(rule.low))) / F.lit(float(rule.step))
-        return F.abs(steps - F.round(steps)) > _STEP_TOLERANCE
+        if isinstance(wanted, T.IntegralType) and rule.step == 1:
+            return None
+        steps = f"(({value} - {literal(float(rule.low))}) / {literal(float(rule.step))})"
+        return f"abs({steps} - round({steps})) > {literal(_STEP_TOLERANCE)}"
     raise ValueError(f"unknown rule kind {rule.kind!r}")
 
 
@@ -48,15 +54,12 @@ def first_broken_rule(
 
     ``require_id`` is for streams, where no id can be handed out.
     """
-    reason = None
-    for rule in rules:
-        branch = F.when if reason is None else reason.when
-        reason = branch(_is_broken(rule, schema), F.lit(rule.reason))
+    tests = [(_broken(rule, schema), literal(rule.reason)) for rule in rules]
     if require_id:
-        missing = F.coalesce(_bound(ID, schema), F.lit(UNASSIGNED_ID)) == UNASSIGNED_ID
-        branch = F.when if reason is None else reason.when
-        reason = branch(missing, F.lit(f"{ID}:missing"))
-    return F.lit(None).cast("string") if reason is None else reason
+        missing = f"coalesce({_bound(ID, schema)}, {UNASSIGNED_ID}) = {UNASSIGNED_ID}"
+        tests.append((missing, literal(f"{ID}:missing")))
+    branches = [(condition, reason) for condition, reason in tests if condition is not None]
+    return F.expr(case(branches)) if branches else F.lit(None).cast("string")
 
 
 def tag_records(
@@ -78,10 +81,11 @@ def accepted_records(tagged: DataFrame, schema: T.StructType = INTAKE) -> DataFr
     for field in schema:
         value = _bound(field.name, schema)
         if field.name == ID:
-            value = F.coalesce(value, F.lit(UNASSIGNED_ID).cast(field.dataType))
-        bound.append(value.alias(field.name))
-    extra = [name for name in tagged.columns if name not in schema.names and name != REASON]
-    return tagged.where(F.col(REASON).isNull()).select(*bound, *extra)
+            value = f"coalesce({value}, CAST({UNASSIGNED_ID} AS {field.dataType.simpleString()}))"
+        bound.append(f"{value} AS {quoted(field.name)}")
+    known = {*schema.names, REASON}
+    extra = [quoted(name) for name in tagged.columns if name not in known]
+    return tagged.where(F.col(REASON).isNull()).selectExpr(*bound, *extra)
 
 
 def rejected_records(tagged: DataFrame) -> DataFrame:
@@ -109,10 +113,9 @@ def count_reasons(tagged: DataFrame) -> DataFrame:
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
     """Rows without null or NaN; the null tests are pushed into the file scan."""
-    condition = F.lit(True)
+    tests = []
     for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        condition = condition & column.isNotNull()
+        tests.append(f"{quoted(field.name)} IS NOT NULL")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            condition = condition & ~F.isnan(column)
-    return df.where(condition)
+            tests.append(f"NOT isnan({quoted(field.name)})")
+    return df.where(" AND ".join(tests))

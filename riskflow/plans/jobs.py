@@ -18,10 +18,15 @@ from riskflow.operators.ids import assign_ids
 from riskflow.operators.metrics import evaluate_hard, evaluate_raw
 from riskflow.operators.train import train_forest, train_gbt, train_svc
 from riskflow.operators.upsert import upsert_by_key
-from riskflow.operators.validate import accepted_records, rejected_records, tag_records
+from riskflow.operators.validate import (
+    REASON,
+    accepted_records,
+    rejected_records,
+    tag_records,
+)
 from riskflow.operators.verdict import verdicts
 from riskflow.schema import FORM_RULES, ID, INTAKE_COLUMNS, TRAIN_FRACTION, Rule
-from riskflow.sources.readers import load_model, scan_records
+from riskflow.sources.readers import load_model, scan_records, spread
 from riskflow.sources.writers import save_model
 from riskflow.workspace import ensure_checkpoint_dir, run_dir
 
@@ -57,8 +62,9 @@ def prepared_training_table(
     path = f"{run_dir(spark, 'training')}/set"
     side = F.when(in_fraction(ID, fraction, seed), "train").otherwise("test")
     training_set(records).withColumn("side", side).write.partitionBy("side").parquet(path)
-    table = with_class_weights(spark.read.schema(TRAINING_TABLE).parquet(path))
-    return table.where(F.col("side") == "train"), table.where(F.col("side") == "test")
+    table = spread(spark.read.schema(TRAINING_TABLE).parquet(path), ID)
+    weighted = with_class_weights(table)
+    return weighted.where(F.col("side") == "train"), weighted.where(F.col("side") == "test")
 
 
 def train_job(
@@ -111,19 +117,21 @@ def score_batch(
 ) -> IntakeResult:
     """Validate, number, store and score one batch of submissions.
 
-    ``order`` is the unique arrival number.  The submissions are parsed once,
-    to write the accepted ones; numbering then reads columns of that table.
-    The numbered records are written too, so that storing and scoring see the
-    same ids.  The next state of the store goes to a new folder under ``out``;
-    the store that was read stays as it is.
+    ``order`` is the unique arrival number.  The submissions are parsed and
+    judged once, into a table with a folder per outcome.  The numbered records
+    are written too, so that storing and scoring see the same ids.  The next
+    state of the store goes to a new folder under ``out``; the store that was
+    read stays as it is.
     """
-    steps = ("accepted", "rejected", "numbered", "store", "verdicts")
-    paths = {name: f"{out}/{name}" for name in steps}
+    paths = {name: f"{out}/{name}" for name in ("submitted", "numbered", "store", "verdicts")}
     tagged = tag_records(submitted, rules)
-    accepted_records(tagged).write.parquet(paths["accepted"])
-    rejected_records(tagged).write.parquet(paths["rejected"])
+    schema = T.StructType([*tagged.schema.fields, T.StructField("accepted", T.BooleanType())])
+    judged = tagged.withColumn("accepted", F.col(REASON).isNull())
+    judged.write.partitionBy("accepted").parquet(paths["submitted"])
+    judged = spark.read.schema(schema).parquet(paths["submitted"])
 
-    accepted = spark.read.parquet(paths["accepted"]).select(*INTAKE_COLUMNS, order)
+    accepted = accepted_records(judged.where("accepted").drop("accepted"))
+    accepted = accepted.select(*INTAKE_COLUMNS, order)
     in_use = store.select(ID).unionByName(accepted.select(ID))
     assign_ids(accepted, in_use, order).write.parquet(paths["numbered"])
 
@@ -133,6 +141,6 @@ def score_batch(
     return IntakeResult(
         verdicts=spark.read.parquet(paths["verdicts"]),
         stored=scan_records(spark, paths["store"]),
-        rejected=spark.read.parquet(paths["rejected"]),
+        rejected=rejected_records(judged.where("NOT accepted").drop("accepted")),
         paths=paths,
     )

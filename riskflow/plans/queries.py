@@ -68,7 +68,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_dir(spark, 'export')}/lines"
-    complete = validate.drop_incomplete(views.records(spark, sf_dir))
+    complete = _complete(spark, sf_dir)
     writers.export_json_gz(complete, path, buckets=8)
     parsed = spark.read.text(path).select(parse_record(F.col("value")).alias("r"))
     return parsed.select("r.*")
@@ -129,7 +129,7 @@ def decode_for_review(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_per_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.rule_scores(spark, sf_dir).select(
-        "id", risk_message(F.col("a_positive")).alias("message")
+        "id", risk_message("a_positive").alias("message")
     )
 
 
@@ -206,7 +206,7 @@ def upsert_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ----------------------------------------------------------------- features --
 def _complete(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.drop_incomplete(views.records(spark, sf_dir))
+    return validate.drop_incomplete(views.records(spark, sf_dir, spread_out=True))
 
 
 def encode_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -347,7 +347,7 @@ def _landed(spark: SparkSession, records: DataFrame, root: str) -> DataFrame:
 
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = run_dir(spark, "stream-fanout")
-    records = flows.accepted_stream(_landed(spark, views.records(spark, sf_dir), root), RULES)
+    records = flows.accepted_stream(_landed(spark, views.records(spark, sf_dir, spread_out=True), root), RULES)
     running = flows.start_fanout(
         records,
         {
@@ -421,7 +421,9 @@ def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Confusion counts and hard areas of the verdict over all complete records."""
-    labelled = encode.labelled_set(validate.drop_incomplete(views.intake(spark, sf_dir)))
+    labelled = encode.labelled_set(
+        validate.drop_incomplete(views.intake(spark, sf_dir, spread_out=True))
+    )
     encoded = encode.encode(labelled)
     judged = score.arbitrate(
         score.score(encoded, fitted_models(spark, sf_dir)), ["forest", "gbt"], "prediction"
@@ -432,7 +434,7 @@ def model_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = fitted_models(spark, sf_dir)
     root = run_dir(spark, "stream-score")
-    records = flows.accepted_stream(_landed(spark, views.records(spark, sf_dir), root), RULES)
+    records = flows.accepted_stream(_landed(spark, views.records(spark, sf_dir, spread_out=True), root), RULES)
     flows.start_scoring(
         records, models, f"{root}/verdicts", f"{root}/checkpoint"
     ).awaitTermination()
@@ -440,7 +442,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def intake_to_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    submitted = views.intake_raw(spark, sf_dir).withColumn("seq", F.col("id"))
+    submitted = views.intake_raw(spark, sf_dir, spread_out=True).withColumn("seq", F.col("id"))
     result = score_batch(
         spark,
         submitted,

@@ -6,81 +6,69 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.schema import INTAKE_COLUMNS, TARGET
+from riskflow.sources.readers import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _int_flag(condition):
-    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
-
-
-def intake(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One labelled record per order."""
+_AGE = "CAST(1 + (o_custkey * 7 + o_orderkey) % 100 AS INT)"
+_INTAKE = (
+    "o_orderkey AS id",
+    "CASE WHEN o_custkey % 2 = 0 THEN 'Female' ELSE 'Male' END AS gender",
+    f"{_AGE} AS age",
+    "CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS hypertension",
+    "CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END AS heart_disease",
+    "CASE WHEN o_orderkey % 3 = 0 THEN 'No' ELSE 'Yes' END AS ever_married",
+    """CASE c_mktsegment WHEN 'HOUSEHOLD' THEN 'children' WHEN 'BUILDING' THEN 'Govt_job'
+       WHEN 'FURNITURE' THEN 'Never_worked' WHEN 'MACHINERY' THEN 'Private'
+       ELSE 'Self-employed' END AS work_type""",
+    "CASE WHEN c_nationkey % 2 = 0 THEN 'Urban' ELSE 'Rural' END AS Residence_type",
+    "o_totalprice / 2500D AS avg_glucose_level",
+    "CASE WHEN c_acctbal < 0 THEN NULL ELSE c_acctbal / 250D END AS bmi",
+    """CASE o_orderstatus WHEN 'F' THEN 'formerly smoked' WHEN 'O' THEN 'smokes'
+       ELSE 'never smoked' END AS smoking_status""",
+    f"""CASE WHEN {_AGE} > 60 AND (o_orderpriority = '1-URGENT' OR o_totalprice > 450000)
+         AND o_orderkey % 2 = 0 THEN 1 ELSE 0 END AS stroke""",
+)
+
+
+def intake(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
+    """One labelled record per order; ``spread_out`` for work that is heavy per row."""
     orders = table(spark, sf_dir, "orders")
+    if spread_out:
+        orders = spread(orders, "o_orderkey")
     customer = table(spark, sf_dir, "customer")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey)
-    age = 1 + (F.col("o_custkey") * 7 + F.col("o_orderkey")) % 100
-    segment, state = F.col("c_mktsegment"), F.col("o_orderstatus")
-    urgent = F.col("o_orderpriority") == "1-URGENT"
-    return joined.select(
-        F.col("o_orderkey").alias("id"),
-        F.when(F.col("o_custkey") % 2 == 0, "Female").otherwise("Male").alias("gender"),
-        age.cast("int").alias("age"),
-        _int_flag(urgent).alias("hypertension"),
-        _int_flag(F.col("o_orderpriority") == "5-LOW").alias("heart_disease"),
-        F.when(F.col("o_orderkey") % 3 == 0, "No").otherwise("Yes").alias("ever_married"),
-        F.when(segment == "HOUSEHOLD", "children")
-        .when(segment == "BUILDING", "Govt_job")
-        .when(segment == "FURNITURE", "Never_worked")
-        .when(segment == "MACHINERY", "Private")
-        .otherwise("Self-employed")
-        .alias("work_type"),
-        F.when(F.col("c_nationkey") % 2 == 0, "Urban").otherwise("Rural").alias("Residence_type"),
-        (F.col("o_totalprice") / F.lit(2500.0)).alias("avg_glucose_level"),
-        F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal") / F.lit(250.0)).alias("bmi"),
-        F.when(state == "F", "formerly smoked")
-        .when(state == "O", "smokes")
-        .otherwise("never smoked")
-        .alias("smoking_status"),
-        _int_flag(
-            (age > 60) & (urgent | (F.col("o_totalprice") > 450000)) & (F.col("o_orderkey") % 2 == 0)
-        ).alias(TARGET),
-    )
+    joined = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
+    return joined.selectExpr(*_INTAKE)
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """The intake without the label, in record column order."""
-    return intake(spark, sf_dir).select(*INTAKE_COLUMNS)
+    return intake(spark, sf_dir, spread_out).select(*INTAKE_COLUMNS)
 
 
-def intake_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def intake_raw(spark: SparkSession, sf_dir: str, spread_out: bool = False) -> DataFrame:
     """Submitted text: some ages are not numbers."""
-    age = F.when(F.col("id") % 97 == 0, "abc").otherwise(F.col("age").cast("string"))
-    return records(spark, sf_dir).withColumn("age", age)
+    age = F.expr("CASE WHEN id % 97 = 0 THEN 'abc' ELSE CAST(age AS STRING) END")
+    return records(spark, sf_dir, spread_out).withColumn("age", age)
 
 
 def intake_unassigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every third record has no id yet; ``seq`` is the arrival number."""
-    return intake(spark, sf_dir).select(
-        F.col("id").alias("seq"),
-        F.when(F.col("id") % 3 == 0, F.lit(-1).cast("bigint")).otherwise(F.col("id")).alias("id"),
-        "gender",
-        "age",
+    return intake(spark, sf_dir).selectExpr(
+        "id AS seq", "CASE WHEN id % 3 = 0 THEN CAST(-1 AS BIGINT) ELSE id END AS id", "gender", "age"
     )
 
 
 def rule_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stand-in scorers whose confidences tie now and then."""
-    base = intake(spark, sf_dir)
-    hundredths_a = (50 + F.abs(F.col("age") - 60) % 50).cast("double")
-    hundredths_b = (50 + F.col("id") % 40).cast("double")
-    return base.select(
+    return intake(spark, sf_dir).selectExpr(
         "id",
         TARGET,
-        (F.col("age") > 60).alias("a_positive"),
-        (hundredths_a / F.lit(100.0)).alias("a_confidence"),
-        (F.col("avg_glucose_level") > 100).alias("b_positive"),
-        (hundredths_b / F.lit(100.0)).alias("b_confidence"),
+        "age > 60 AS a_positive",
+        "CAST(50 + abs(age - 60) % 50 AS DOUBLE) / 100D AS a_confidence",
+        "avg_glucose_level > 100 AS b_positive",
+        "CAST(50 + id % 40 AS DOUBLE) / 100D AS b_confidence",
     )

@@ -16,6 +16,7 @@ def local_session(cores: int | str = "*", app: str = "riskflow", **settings: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -56,6 +56,17 @@ def read_intake_stream(
     return reader.parquet(path)
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Redistribute a small scan over all cores, for work that is heavy per row.
+
+    A scan with a split or more per core, so any large table, passes as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, key)
+
+
 def load_model(kind: str, path: str) -> Model:
     """A fitted ``forest``, ``gbt`` or ``svc``."""
     return _MODEL_CLASSES[kind].load(path)

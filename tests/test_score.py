@@ -36,7 +36,7 @@ def test_three_models(spark):
 
 
 def test_message(spark):
-    rows = spark.createDataFrame([(True,), (False,)], "p boolean").select(risk_message(F.col("p")))
+    rows = spark.createDataFrame([(True,), (False,)], "p boolean").select(risk_message("p"))
     high, low = [row[0] for row in rows.collect()]
     assert high.startswith("You have a high chance") and low.endswith("are low.")
 
