@@ -18,9 +18,13 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from riskflow.operators.train import train_forest, train_gbt, train_svc  # noqa: E402
 from riskflow.plans import views  # noqa: E402
-from riskflow.plans.jobs import prepared_training_table  # noqa: E402
+from riskflow.plans.jobs import (  # noqa: E402
+    HEAVY_PER_ROW,
+    TRAINERS,
+    training_side,
+    write_training_table,
+)
 from riskflow.plans.queries import QUERIES  # noqa: E402
 from riskflow.session import local_session  # noqa: E402
 from riskflow.workspace import ensure_checkpoint_dir  # noqa: E402
@@ -57,9 +61,10 @@ def main() -> None:
     fits: dict[str, float] = {}
     if FITS and not ONLY:
         ensure_checkpoint_dir(spark)
-        train, _ = prepared_training_table(spark, views.intake(spark, SF_DIR))
-        fits["rows"] = train.count()
-        for kind, trainer in (("forest", train_forest), ("gbt", train_gbt), ("svc", train_svc)):
+        table = write_training_table(spark, views.intake(spark, SF_DIR))
+        for kind, trainer in TRAINERS.items():
+            train = training_side(spark, table, "train", spread_out=kind in HEAVY_PER_ROW)
+            fits["rows"] = train.count()
             fits[kind] = round(timed(lambda: trainer(train)), 3)
     print(
         json.dumps(

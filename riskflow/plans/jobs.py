@@ -38,6 +38,8 @@ TRAINING_TABLE = T.StructType(
         T.StructField("side", T.StringType()),
     ]
 )
+#: Gains from more tasks even on small tables; the others wait for their many short jobs.
+HEAVY_PER_ROW = {"forest"}
 TRAINERS = {"forest": train_forest, "gbt": train_gbt, "svc": train_svc}
 
 
@@ -49,22 +51,31 @@ class TrainedModel:
     raw: dict[str, float] | None = None
 
 
-def prepared_training_table(
+def write_training_table(
     spark: SparkSession, records: DataFrame, fraction: float = TRAIN_FRACTION, seed: int = 42
-) -> tuple[DataFrame, DataFrame]:
-    """``(train, test)``: encoded, weighted records from a table with one folder per side.
+) -> str:
+    """Encode the complete records into a table with one folder per side; returns its path.
 
-    The source is read once, to write the table; every fit and evaluation reads
-    its own folder and nothing else.  The table outlives lost executors, needs
-    no executor memory, and cuts the lineage.  The weights stay a subquery over
-    its label column, both sides together.
+    The source is read once, here; every fit and evaluation reads its own
+    folder and nothing else.  The table outlives lost executors, needs no
+    executor memory, and cuts the lineage.
     """
     path = f"{run_dir(spark, 'training')}/set"
     side = F.when(in_fraction(ID, fraction, seed), "train").otherwise("test")
     training_set(records).withColumn("side", side).write.partitionBy("side").parquet(path)
-    table = spread(spark.read.schema(TRAINING_TABLE).parquet(path), ID)
-    weighted = with_class_weights(table)
-    return weighted.where(F.col("side") == "train"), weighted.where(F.col("side") == "test")
+    return path
+
+
+def training_side(
+    spark: SparkSession, path: str, side: str, spread_out: bool = False
+) -> DataFrame:
+    """The ``train`` or ``test`` folder, weighted by the class balance of both.
+
+    The balance is a subquery over the label column of the table.
+    """
+    table = spark.read.schema(TRAINING_TABLE).parquet(path)
+    weighted = with_class_weights(spread(table, ID) if spread_out else table)
+    return weighted.where(F.col("side") == side)
 
 
 def train_job(
@@ -85,9 +96,11 @@ def train_job(
     """
     ensure_checkpoint_dir(spark)
     fresh = run_dir(spark, "fitted")
-    train, test = prepared_training_table(spark, records, seed=seed)
+    table = write_training_table(spark, records, seed=seed)
+    test = training_side(spark, table, "test")
     trained = {}
     for kind in kinds:
+        train = training_side(spark, table, "train", spread_out=kind in HEAVY_PER_ROW)
         save_model(TRAINERS[kind](train, **(options or {}).get(kind, {})), f"{fresh}/{kind}")
         model = load_model(kind, f"{fresh}/{kind}")
         tested = model.transform(test)
