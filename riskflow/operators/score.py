@@ -26,6 +26,7 @@ def score(df: DataFrame, models: Mapping[str, Model], features: str = FEATURES)
 
     Confidence is the probability of the class the model predicts.  All models
     run over the same row in the same stage; no join brings results together.
+    Give it loaded models: a fresh one still holds its training summary.
     """
     for name, model in models.items():
         if not model.hasParam("probabilityCol"):

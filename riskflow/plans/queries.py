@@ -69,7 +69,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_dir(spark, 'export')}/lines"
     complete = _complete(spark, sf_dir)
-    writers.export_json_gz(complete, path, buckets=8)
+    writers.export_json_gz(complete, path, buckets=64)
     parsed = spark.read.text(path).select(parse_record(F.col("value")).alias("r"))
     return parsed.select("r.*")
 
@@ -108,17 +108,21 @@ def lookup_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     return review.lookup_many(views.records(spark, sf_dir), wanted)
 
 
+def _submitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.intake_raw(spark, sf_dir, spread_out=True)
+
+
 def validate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.count_reasons(validate.tag_records(views.intake_raw(spark, sf_dir), RULES))
+    return validate.count_reasons(validate.tag_records(_submitted(spark, sf_dir), RULES))
 
 
 def validated_ok(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accepted, _ = validate.validate_records(views.intake_raw(spark, sf_dir), RULES)
+    accepted, _ = validate.validate_records(_submitted(spark, sf_dir), RULES)
     return accepted
 
 
 def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejected = validate.validate_records(views.intake_raw(spark, sf_dir), RULES)
+    _, rejected = validate.validate_records(_submitted(spark, sf_dir), RULES)
     return rejected.select("id", "age", "bmi", "reason")
 
 
@@ -395,7 +399,8 @@ def _model_paths(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...]) -> di
 def fitted_models(
     spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ENSEMBLE
 ) -> dict[str, Model]:
-    paths = _model_paths(spark, sf_dir, kinds)
+    together = ENSEMBLE if set(kinds) <= set(ENSEMBLE) else kinds
+    paths = _model_paths(spark, sf_dir, together)
     return {kind: readers.load_model(kind, paths[kind]) for kind in kinds}
 
 
@@ -412,7 +417,7 @@ def score_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_dir(spark, 'model-copy')}/forest"
-    writers.save_model(fitted_models(spark, sf_dir)["forest"], path)
+    writers.save_model(fitted_models(spark, sf_dir, ("forest",))["forest"], path)
     loaded = {"forest": readers.load_model("forest", path)}
     return score.score(encode.encode(_complete(spark, sf_dir)), loaded).select(
         "id", "forest_positive", "forest_confidence"
@@ -442,7 +447,7 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def intake_to_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    submitted = views.intake_raw(spark, sf_dir, spread_out=True).withColumn("seq", F.col("id"))
+    submitted = _submitted(spark, sf_dir).withColumn("seq", F.col("id"))
     result = score_batch(
         spark,
         submitted,

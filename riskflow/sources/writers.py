@@ -32,14 +32,16 @@ def export_json_gz(
 ) -> None:
     """One JSON object per line, gzipped.
 
-    ``buckets`` spreads a bulk export over that many folders by key hash, for
+    ``buckets`` puts a bulk export into that many folders by key hash, for
     readers that fetch single records: one folder holds all lines of its keys.
+    The rebalance keeps the files of a folder few and even, however large or
+    hot the folder is.
     """
     lines = df.select(record_json(columns).alias("value"))
     if buckets is not None:
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
         lines = df.select(bucket, record_json(columns).alias("value"))
-        lines = lines.repartition(buckets, "bucket")
+        lines = lines.hint("rebalance", "bucket")
         lines.write.partitionBy("bucket").option("compression", "gzip").text(path)
     else:
         lines.write.option("compression", "gzip").text(path)
