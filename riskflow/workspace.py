@@ -2,24 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session.
-
-    Where it is unset, a local session gets a temporary folder; a cluster gets
-    an error, because a folder of one machine is invisible to the executors.
-    """
+    """``spark.checkpoint.dir`` of the session, or a folder in its warehouse, which is shared too."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix="riskflow-")
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_riskflow"
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

@@ -15,8 +15,9 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "riskflow-tests")
+def spark(tmp_path_factory):
+    scratch = str(tmp_path_factory.mktemp("scratch"))
+    session = local_session(8, "riskflow-tests", **{"spark.checkpoint.dir": scratch})
     yield session
     session.stop()
 
