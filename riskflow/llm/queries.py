@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import url_filter
+from riskflow.llm import chat_format, exact_dedup, url_filter
 from riskflow.llm.common import table
 
 
@@ -12,8 +12,24 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_table(spark))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", said), (-1, 1, "assistant", said)],
+        "conv_id bigint, turn int, role string, text string",
+    )
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.formatted_digests(rows.unionByName(extra))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_chat_format": op6_chat_format,
 }
 
 ORACLE_SQL = {
@@ -41,5 +57,31 @@ WITH rules(action, host, path) AS (
 SELECT page_id, host, path, best.host || best.path AS rule,
        coalesce(best.action, 'allow') AS verdict
 FROM judged
+""",
+    "op5_exact_dedup": r"""
+WITH n AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+FROM n WINDOW w AS (PARTITION BY t)
+""",
+    "op6_chat_format": r"""
+WITH t AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), sized AS (
+  SELECT *, CASE role WHEN 'user' THEN 6 WHEN 'system' THEN 5 WHEN 'assistant' THEN 5
+                 ELSE 13 + length(role) END + length(text) + 4
+         + len(regexp_extract_all(text, '\\|</?s>|\[/?(?:SYS|INST|ANS|ROLE)\]')) AS chars
+  FROM t
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
 """,
 }
