@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import chat_format, exact_dedup, url_filter
+from riskflow.llm import chat_format, exact_dedup, quality, url_filter
 from riskflow.llm.common import table
 
 
@@ -26,10 +26,16 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.formatted_digests(rows.unionByName(extra))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL = {
