@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import chat_format, exact_dedup, quality, url_filter
+from riskflow.llm import byte_bpe, chat_format, exact_dedup, quality, token_files, url_filter
 from riskflow.llm.common import table
 
 
@@ -26,6 +27,17 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.formatted_digests(rows.unionByName(extra))
 
 
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents")
+    return byte_bpe.round_trip(spark, docs, vocabulary, public_tokenizers.PATTERN)
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_files.round_trip(spark, table(spark, sf_dir, "documents"), path, end_id=2)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs))
@@ -35,6 +47,8 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
+    "op8_byte_bpe": op8_byte_bpe,
+    "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
 }
 
