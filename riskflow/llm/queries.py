@@ -5,14 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import byte_bpe, chat_format, exact_dedup, quality, token_files, url_filter
-from riskflow.llm.common import table
+from riskflow.llm import (
+    byte_bpe,
+    chat_format,
+    exact_dedup,
+    language_id,
+    quality,
+    token_files,
+    url_filter,
+)
+from riskflow.llm.common import crc_remainder, table
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_table(spark))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = language_id.fit(docs, ~held_out)
+    return language_id.identify(docs, model, "doc_id", "text", held_out.alias("held_out"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -45,6 +60,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op3_language_id": op3_language_id,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_byte_bpe": op8_byte_bpe,
