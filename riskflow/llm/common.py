@@ -45,22 +45,29 @@ def salted_join(
 
     A key with more than 1 / SHARES of all counted rows is cut into parts by a
     hash of ``spread_by``, in proportion to its count; its group row is repeated
-    for each part.  The list of such keys has at most SHARES rows, whatever the
-    size of the input, and is the only thing broadcast.  ``groups`` is read three
-    times and should be a written table.  Null keys never match.
+    for each part.  The hashes of such keys are at most SHARES rows of two numbers,
+    whatever the size of the input, and the only thing broadcast.  ``groups`` is
+    read four times and should be a written table.  Null keys never match.
     """
     total = groups.agg(F.coalesce(F.sum(count), F.lit(0)).alias("n")).scalar()
-    parts = F.ceil(F.col(count) * SHARES / total).cast("int")
-    heavy = groups.where(F.col(count) * SHARES > total).select(*keys, parts.alias("_parts"))
-    hashed = F.xxhash64(F.col(spread_by) if isinstance(spread_by, str) else spread_by)
-    dealt = (
-        rows.join(F.broadcast(heavy), list(keys), "left")
-        .withColumn("_part", F.pmod(hashed, F.coalesce("_parts", F.lit(1))).cast("int"))
-        .drop("_parts")
+    share = F.col(count) * SHARES
+    heavy = (
+        groups.where(share > total)
+        .groupBy(F.xxhash64(*keys).alias("_key"))
+        .agg(F.max(F.ceil(share / total)).cast("int").alias("_parts"))
     )
-    last = F.when(F.col(count) * SHARES > total, parts - 1).otherwise(0)
-    repeated = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), last)))
-    return dealt.join(repeated, [*keys, "_part"], how).drop("_part")
+    hashed = F.xxhash64(F.col(spread_by) if isinstance(spread_by, str) else spread_by)
+    parts = F.coalesce("_parts", F.lit(1))
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        return df.withColumn("_key", F.xxhash64(*keys)).join(F.broadcast(heavy), "_key", "left")
+
+    dealt = with_parts(rows).withColumn("_part", F.pmod(hashed, parts).cast("int"))
+    repeated = with_parts(groups).withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    on = ["_key", *keys, "_part"]
+    # Both sides grow with the corpus: the plan is the same at any size.
+    joined = dealt.drop("_parts").hint("merge").join(repeated.drop("_parts"), on, how)
+    return joined.drop("_key", "_part")
 
 
 class WordIds(dict):
