@@ -118,3 +118,17 @@ class HashIndex:
             found[open_] = candidate
             open_ = open_[(candidate >= 0) & (self.keys[candidate] != keys[open_])]
         return found
+
+
+def chunks(texts: list[str | None], limit: int = 1 << 22) -> list[slice]:
+    """Cut a list of texts where about ``limit`` characters have gathered; a longer text is alone."""
+    cuts, start, size = [], 0, 0
+    for i, text in enumerate(texts):
+        n = len(text or "")
+        if i > start and size + n > limit:
+            cuts.append(slice(start, i))
+            start, size = i, 0
+        size += n
+    if start < len(texts):
+        cuts.append(slice(start, len(texts)))
+    return cuts

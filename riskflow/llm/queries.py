@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from riskflow.llm import (
     byte_bpe,
     chat_format,
+    decontaminate,
     exact_dedup,
     language_id,
     quality,
@@ -28,6 +29,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model, "doc_id", "text", held_out.alias("held_out"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = table(spark, sf_dir, "benchmark")
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), benchmark)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
@@ -61,6 +67,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op3_language_id": op3_language_id,
+    "op4_decontaminate": op4_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
     "op8_byte_bpe": op8_byte_bpe,
