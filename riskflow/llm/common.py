@@ -40,6 +40,7 @@ def salted_join(
     count: str,
     spread_by: str | Column,
     how: str = "inner",
+    keep_parts: bool = False,
 ) -> DataFrame:
     """Join rows with one row per key, where ``groups[count]`` rows have the key.
 
@@ -48,6 +49,8 @@ def salted_join(
     for each part.  The hashes of such keys are at most SHARES rows of two numbers,
     whatever the size of the input, and the only thing broadcast.  ``groups`` is
     read four times and should be a written table.  Null keys never match.
+    ``keep_parts`` leaves the columns by which the result is dealt out: ``_key``
+    (hash of the keys), ``_part`` and the number of parts, ``_parts``.
     """
     total = groups.agg(F.coalesce(F.sum(count), F.lit(0)).alias("n")).scalar()
     share = F.col(count) * SHARES
@@ -66,8 +69,9 @@ def salted_join(
     repeated = with_parts(groups).withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
     on = ["_key", *keys, "_part"]
     # Both sides grow with the corpus: the plan is the same at any size.
-    joined = dealt.drop("_parts").hint("merge").join(repeated.drop("_parts"), on, how)
-    return joined.drop("_key", "_part")
+    dealt = dealt.withColumn("_parts", parts) if keep_parts else dealt.drop("_parts")
+    joined = dealt.hint("merge").join(repeated.drop("_parts"), on, how)
+    return joined if keep_parts else joined.drop("_key", "_part")
 
 
 class WordIds(dict):

@@ -11,6 +11,7 @@ from riskflow.llm import (
     decontaminate,
     exact_dedup,
     language_id,
+    near_dedup,
     quality,
     token_files,
     url_filter,
@@ -48,6 +49,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.formatted_digests(rows.unionByName(extra))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = table(spark, sf_dir, "documents")
@@ -70,6 +75,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_chat_format": op6_chat_format,
+    "op7_near_dedup": op7_near_dedup,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
