@@ -26,6 +26,8 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
+from riskflow.llm.common import chunks
+
 #: Pre-tokens whose ids a worker remembers.
 CACHE = 300_000
 #: Byte b is the character FIRST_CHARACTER + b of a piece: letters, no white space.
@@ -139,11 +141,12 @@ def encode(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokens.value, pattern)
         for batch in batches:
-            found = encoder.encode(batch.column(1).to_pylist())
-            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
-            flat = np.concatenate(found) if found else np.zeros(0, np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_column, "ids"])
+            texts = batch.column(1).to_pylist()
+            for some in chunks(texts):
+                found = encoder.encode(texts[some])
+                ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[some], ids], [id_column, "ids"])
 
     id_type = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(
@@ -163,25 +166,25 @@ def digests(encoded: DataFrame, vocabulary: str, id_column: str = "doc_id") -> D
 
 def _decoded(encoded: DataFrame, vocabulary: str, id_column: str, digests: bool) -> DataFrame:
     tokens = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["raw"]
+    types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.binary()]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, name = tokens.value.__getitem__, [str(i) for i in range(len(tokens.value))].__getitem__
         for batch in batches:
-            column = batch.column(1)
+            column, rows = batch.column(1), []
             flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
-            lists = [flat[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)]
-            raw = [b"".join(map(token, ids)) for ids in lists]
-            if not digests:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], [id_column, "raw"])
-                continue
-            texts = (",".join(map(name, ids)).encode() for ids in lists)
-            columns = [
-                pa.array(map(len, lists), pa.int64()),
-                pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                pa.array([hashlib.sha256(r).hexdigest() for r in raw], pa.string()),
-            ]
-            names = [id_column, "n_tokens", "ids_sha256", "decoded_sha256"]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+            for a, b in zip(ends, ends[1:], strict=False):
+                ids = flat[a:b].tolist()
+                raw = b"".join(map(token, ids))
+                if digests:
+                    text = ",".join(map(name, ids)).encode()
+                    rows.append((len(ids), hashlib.sha256(text).hexdigest(), hashlib.sha256(raw).hexdigest()))
+                else:
+                    rows.append((raw,))
+            columns = list(zip(*rows, strict=True)) or [()] * len(names)
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], [id_column, *names])
 
     id_type = encoded.schema[id_column].dataType.simpleString()
     more = "n_tokens bigint, ids_sha256 string, decoded_sha256 string" if digests else "raw binary"

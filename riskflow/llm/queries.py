@@ -12,6 +12,7 @@ from riskflow.llm import (
     exact_dedup,
     language_id,
     near_dedup,
+    ppm,
     quality,
     token_files,
     url_filter,
@@ -23,6 +24,11 @@ def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.rules_table(spark))
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trains = crc_remainder("doc_id", 10) != 0
+    return ppm.score_documents(table(spark, sf_dir, "documents"), trains)
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_remainder("doc_id", 4) == 2
@@ -71,6 +77,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_ppm": op2_ppm,
     "op3_language_id": op3_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op5_exact_dedup": op5_exact_dedup,

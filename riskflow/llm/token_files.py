@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from riskflow.llm.common import written
+from riskflow.llm.common import chunks, written
 from riskflow.workspace import run_dir
 
 #: Words whose ids a worker remembers.
@@ -115,9 +115,11 @@ def write_token_files(
                 encoder = WordEncoder(Tokenizer.from_str(shipped.value), dtype)
                 files, base = _open_folder(folder)
                 tokens = files.open_output_stream(f"{base}/{name}.bin")
-            for raw in encoder.encode(batch.column(1).to_pylist()):
-                tokens.write(raw + end)
-                offsets.append(offsets[-1] + (len(raw) + len(end)) // len(end))
+            texts = batch.column(1).to_pylist()
+            for some in chunks(texts):
+                for raw in encoder.encode(texts[some]):
+                    tokens.write(raw + end)
+                    offsets.append(offsets[-1] + (len(raw) + len(end)) // len(end))
             ids.append(batch.column(0))
         if encoder is None:
             return
