@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -86,6 +87,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
