@@ -27,6 +27,20 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have yet."""
+    taken = {name.lower() for name in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
+
+def semi_join_ids(docs: DataFrame, ids: DataFrame, id_column: str) -> DataFrame:
+    """The rows of ``docs`` whose id is in the one column of ``ids``; null counts as an id."""
+    wanted = free_name(docs, "wanted")
+    return docs.join(ids.toDF(wanted), F.col(id_column).eqNullSafe(F.col(wanted)), "left_semi")
+
+
 def crc_remainder(column: str, modulus: int) -> Column:
     """crc32 of an id's text, modulo ``modulus``; a null id counts as an empty text."""
     text = F.coalesce(F.col(column).cast("string"), F.lit(""))

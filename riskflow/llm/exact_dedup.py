@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import salted_join, written
+from riskflow.llm.common import salted_join, semi_join_ids, written
 
 DIGIT, WIDEN = 64, 8
 _SPACES = frozenset(b" \t\n\x0b\x0c\r")
@@ -123,8 +123,10 @@ def exact_duplicates(
 def drop_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The documents that stay, with all their columns; of rows repeating an id one stays."""
+    """The documents that stay, with all their columns.
+
+    Of rows that repeat an id and its text one stays.  Rows without an id cannot
+    be told apart: if one of them stays, they all do, but for repeated texts.
+    """
     kept = exact_duplicates(docs, id_column, text_column).where("kept").select(id_column).distinct()
-    kept = kept.withColumnRenamed(id_column, "_kept_id")
-    stays = F.col(id_column).eqNullSafe(F.col("_kept_id"))
-    return docs.join(kept, stays, "left_semi").dropDuplicates([id_column])
+    return semi_join_ids(docs, kept, id_column).dropDuplicates([id_column, text_column])

@@ -148,21 +148,20 @@ def fit(
     lang_column: str = "lang",
 ) -> LanguageModel | None:
     """Fit on the sample of the rows where ``usable`` holds and the language is known."""
-    place = F.xxhash64(id_column)
-    first = Window.partitionBy(lang_column).orderBy("place", id_column)
+    known = docs.where(usable & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull()).select(
+        F.col(id_column).alias("id"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text")
+    )
+    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     # Each task keeps SAMPLE rows of a language before anything is shuffled.
     picked = (
-        docs.where(usable & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
-        .select(id_column, lang_column, place.alias("place"))
-        .withColumn("rank", F.row_number().over(first))
+        known.select(F.col("id").alias("picked"), F.col("lang").alias("of"), F.row_number().over(first).alias("rank"))
         .where(F.col("rank") <= SAMPLE)
-        .select(F.col(id_column).alias("_id"), F.col(lang_column).alias("_lang"), "rank")
     )
-    same = F.col(id_column).eqNullSafe(F.col("_id")) & (F.col(lang_column) == F.col("_lang"))
+    same = F.col("id").eqNullSafe(F.col("picked")) & (F.col("lang") == F.col("of"))
     # At most SAMPLE texts of each language.
     rows = (
-        docs.join(F.broadcast(picked), same)
-        .select(F.col(lang_column).alias("lang"), F.col(text_column).alias("text"), "rank")
+        known.join(F.broadcast(picked), same)
+        .select("lang", "text", "rank")
         .dropDuplicates(["lang", "rank"])
         .orderBy("lang", "rank")
         .collect()

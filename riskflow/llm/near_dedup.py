@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import chunks, salted_join, written
+from riskflow.llm.common import chunks, salted_join, semi_join_ids, written
 from riskflow.llm.components import components
 
 SHINGLE = 5
@@ -261,5 +261,5 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One document of each component, with all its columns; those with a null id stay."""
-    kept = near_duplicates(docs, id_column, text_column).where("kept").select(F.col(id_column).alias("_kept_id"))
-    return docs.join(kept.distinct(), F.col(id_column).eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = near_duplicates(docs, id_column, text_column).where("kept").select(id_column).distinct()
+    return semi_join_ids(docs, kept, id_column)

@@ -19,8 +19,10 @@ ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,8 @@ from tokenizers import Tokenizer
 from riskflow.llm.common import chunks, written
 from riskflow.workspace import run_dir
 
-#: Words whose ids a worker remembers.
-CACHE = 300_000
+#: Words whose ids a worker remembers; then it starts afresh.
+CACHE = 1_000_000
 _INDEX = "part int, name string, n_docs bigint, n_ids bigint"
 
 
@@ -45,45 +47,31 @@ def _open_folder(folder: str) -> tuple[pafs.FileSystem, str]:
 
 
 class WordEncoder:
-    """Encodes texts word by word; the tokenizer never joins what white space parts.
+    """Encodes texts word by word; the tokenizer never joins what white space parts."""
 
-    Words not met before are encoded in one call, with the end-of-text token,
-    which no word of the call holds, between them.
-    """
-
-    SEPARATOR = "<|endoftext|>"
-
-    def __init__(self, tokenizer: Tokenizer, dtype: str):
-        self.tokenizer, self.dtype, self.cache = tokenizer, dtype, {}
-        self.separator = tokenizer.token_to_id(self.SEPARATOR)
-
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        special = [w for w in words if b"<|" in w]
-        plain = [w for w in words if b"<|" not in w]
-        for word in special:
-            self.cache[word] = self._ids(word.decode()).astype(self.dtype).tobytes()
-        for i in range(0, len(plain), 4096):
-            some = plain[i : i + 4096]
-            ids = self._ids(f" {self.SEPARATOR} ".join(w.decode() for w in some))
-            cuts = np.flatnonzero(ids == self.separator)
-            starts, ends = np.append(0, cuts + 1), np.append(cuts, len(ids))
-            ids = ids.astype(self.dtype)
-            for word, a, b in zip(some, starts, ends, strict=True):
-                self.cache[word] = ids[a:b].tobytes()
+    def __init__(self, definition: str, dtype: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on each core
+        self.tokenizer, self.dtype, self.cache = Tokenizer.from_str(definition), dtype, {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text."""
         if len(self.cache) > CACHE:
             self.cache = {}
         cut = [(text or "").encode().split() for text in texts]
-        self._learn(list({w for words in cut for w in words if w not in self.cache}))
+        new = list({w for words in cut for w in words if w not in self.cache})
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
+        for word, encoding in zip(new, found, strict=True):
+            self.cache[word] = np.array(encoding.ids, self.dtype).tobytes()
         get = self.cache.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 
 
+@lru_cache(maxsize=1)
+def _worker_encoder(definition: str, dtype: str) -> WordEncoder:
+    """One encoder for all tasks of a worker, so that later tasks find the words of earlier ones."""
+    return WordEncoder(definition, dtype)
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -112,7 +100,7 @@ def write_token_files(
             if not batch.num_rows:
                 continue
             if encoder is None:
-                encoder = WordEncoder(Tokenizer.from_str(shipped.value), dtype)
+                encoder = _worker_encoder(shipped.value, dtype)
                 files, base = _open_folder(folder)
                 tokens = files.open_output_stream(f"{base}/{name}.bin")
             texts = batch.column(1).to_pylist()
