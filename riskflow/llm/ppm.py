@@ -252,7 +252,7 @@ def _score_block(id_column: str, packs: pa.Table, answers: pa.Table) -> pa.Table
                     "held_out": pa.array(~np.array(table.column("trains").to_pylist(), bool)),
                     "n_words": pa.array(sizes),
                     "n_seen": pa.array(np.bincount(of, counts[found] > 0, len(texts)).astype(np.int64)),
-                    "logs": pa.array(np.bincount(of, log_counts[found], len(texts))),
+                    "logs": pa.array(np.bincount(of, log_counts[found], len(texts)).astype(float)),
                     "score": pa.array(np.add.reduceat(scores[strings.find(codes)], starts)),
                     "new_words": pa.array(np.append(new_words, np.zeros(len(texts) - 1)).astype(np.int64)),
                 }
