@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from riskflow.plans import views  # noqa: E402
 from riskflow.plans.jobs import (  # noqa: E402
-    HEAVY_PER_ROW,
     TRAINERS,
     training_side,
     write_training_table,
@@ -63,7 +62,7 @@ def main() -> None:
         ensure_checkpoint_dir(spark)
         table = write_training_table(spark, views.intake(spark, SF_DIR))
         for kind, trainer in TRAINERS.items():
-            train = training_side(spark, table, "train", spread_out=kind in HEAVY_PER_ROW)
+            train = training_side(spark, table, "train")
             fits["rows"] = train.count()
             fits[kind] = round(timed(lambda: trainer(train)), 3)
     print(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import secrets
 
 from pyspark.sql import SparkSession
 
@@ -60,7 +61,10 @@ def serve(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def review(spark: SparkSession, args: argparse.Namespace) -> None:
-    review_page(scan_records(spark, args.store), args.seed).show(vertical=True, truncate=False)
+    """A stored record drawn anew on each call, unless a seed is given."""
+    seed = secrets.randbelow(1 << 31) if args.seed is None else args.seed
+    print(f"seed {seed}")
+    review_page(scan_records(spark, args.store), seed).show(vertical=True, truncate=False)
 
 
 def export(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -103,7 +107,7 @@ def main(argv: list[str] | None = None) -> None:
         ("max-files", {"type": int}),
         ("once", {"action": "store_true"}),
     )
-    command(review, ("store", needed), ("seed", {"type": int, "default": 42}))
+    command(review, ("store", needed), ("seed", {"type": int}))
     command(export, ("store", needed), ("id", {"type": int, "required": True}), ("out", needed))
     args = parser.parse_args(argv)
     args.action(SparkSession.builder.appName("riskflow").getOrCreate(), args)

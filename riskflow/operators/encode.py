@@ -55,12 +55,15 @@ def labelled_set(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 
 def training_set(
-    records: DataFrame, spec: EncodingSpec = TRAINING_SPEC, target: str = TARGET, key: str = ID
+    records: DataFrame,
+    spec: EncodingSpec = TRAINING_SPEC,
+    target: str = TARGET,
+    key: str = ID,
+    extra: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``key``, ``features``, ``label`` of the complete records.
+    """``key``, ``features``, ``label`` and ``extra`` of the complete records; the key may lack.
 
     The label travels in its row; nothing is collected or matched by position.
     """
-    return encode(labelled_set(drop_incomplete(records), target), spec).select(
-        key, FEATURES, "label"
-    )
+    complete = drop_incomplete(records, [name for name in records.columns if name != key])
+    return encode(labelled_set(complete, target), spec).select(key, FEATURES, "label", *extra)

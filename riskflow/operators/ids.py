@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.schema import ID, UNASSIGNED_ID
+from riskflow.workspace import run_dir
 
-_MAX_BUCKETS = 16_384
-_BUCKET, _ORDER, _BEFORE = "__bucket", "__order", "__before"
+_PART, _BEFORE = "__part", "__before"
 
 
 def next_id(df: DataFrame, key: str = ID) -> DataFrame:
@@ -26,24 +25,36 @@ def _is_unassigned(key: str) -> Column:
     return F.coalesce(F.col(key), F.lit(UNASSIGNED_ID)) == UNASSIGNED_ID
 
 
-def _range_buckets(df: DataFrame, order: str, buckets: int) -> DataFrame:
-    """Adds a bucket number that never falls as ``order`` rises, with even bucket sizes.
+def number_in_order(
+    df: DataFrame, order: list[str | Column], output: str, partitions: int | None = None
+) -> DataFrame:
+    """Adds 0, 1, 2, ... in the given order, without sorting everything in one task.
 
-    The bounds are approximate quantiles, but once taken they are literals of
-    the plan: every pass, and every recomputed task, puts a row in the same bucket.
+    The rows are written once, dealt out by ranges of the order; each range is
+    numbered by itself and moved up by the row counts of the ranges before it.
+    The order should have no ties.
     """
-    missing = F.raise_error(F.lit(f"a record to be numbered has no {order}")).cast("double")
-    ordered = df.withColumn(_ORDER, F.coalesce(F.col(order).cast("double"), missing))
-    if buckets == 1:
-        return ordered.withColumn(_BUCKET, F.lit(0))
-    probabilities = [i / buckets for i in range(1, buckets)]
-    # Distinct, because Bucketizer wants rising splits; none for an empty frame.
-    bounds = sorted(set(ordered.approxQuantile(_ORDER, probabilities, 0.5 / buckets)))
-    if not bounds:
-        return ordered.withColumn(_BUCKET, F.lit(0))
-    splits = [float("-inf"), *bounds, float("inf")]
-    bucketizer = Bucketizer(splits=splits, inputCol=_ORDER, outputCol=_BUCKET)
-    return bucketizer.transform(ordered).withColumn(_BUCKET, F.col(_BUCKET).cast("int"))
+    spark = df.sparkSession
+    if partitions is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{run_dir(spark, 'ranges')}/table"
+    ranged = df.repartitionByRange(partitions, *order).withColumn(_PART, F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
+    # One row per range, so at most ``partitions`` rows pass this single-task window.
+    ahead = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranged.groupBy(_PART)
+        .agg(F.count("*").alias("n"))
+        .select(_PART, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(_BEFORE))
+    )
+    within = F.row_number().over(Window.partitionBy(_PART).orderBy(*order))
+    return (
+        ranged.withColumn("__within", within)
+        .join(F.broadcast(offsets), _PART)
+        .withColumn(output, (F.col(_BEFORE) + F.col("__within") - 1).cast("bigint"))
+        .drop(_PART, _BEFORE, "__within")
+    )
 
 
 def assign_ids(
@@ -56,34 +67,16 @@ def assign_ids(
 ) -> DataFrame:
     """Number the records without id densely, in ``order``, after the highest existing id.
 
-    Records with an id keep it and skip the shuffle.  The others are split into
-    ranges of the numeric, unique, never-null column ``order``; each range is
-    numbered by itself and moved up by the row count of the ranges before it,
-    so no task sees more than its range.  ``existing`` must hold all ids in use,
-    explicit ones of this batch included.
+    Records with an id keep it and skip the shuffle.  The others, whose ``order``
+    must be unique and never null, are numbered in ``buckets`` ranges.
+    ``existing`` must hold all ids in use, explicit ones of this batch included.
     """
     output = output or key
-    if buckets is None:
-        partitions = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        buckets = min(4 * partitions, _MAX_BUCKETS)
-
     kept = records.where(~_is_unassigned(key)).withColumn(output, F.col(key).cast("bigint"))
-    fresh = records.where(_is_unassigned(key))
-    bucketed = _range_buckets(fresh, order, buckets)
-
-    # One row per bucket, so at most ``buckets`` rows pass this single-task window.
-    ahead = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        bucketed.groupBy(_BUCKET)
-        .agg(F.count("*").alias("n"))
-        .select(_BUCKET, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(_BEFORE))
-    )
+    kind = records.schema[order].dataType
+    missing = F.raise_error(F.lit(f"a record to be numbered has no {order}")).cast(kind)
+    fresh = records.where(_is_unassigned(key)).withColumn(order, F.coalesce(F.col(order), missing))
     start = next_id(existing, key).scalar()
-    within = F.row_number().over(Window.partitionBy(_BUCKET).orderBy(order))
-    numbered = (
-        bucketed.withColumn("__within", within)
-        .join(F.broadcast(offsets), _BUCKET)
-        .withColumn(output, (start + F.col(_BEFORE) + F.col("__within") - 1).cast("bigint"))
-        .drop(_BUCKET, _ORDER, _BEFORE, "__within")
-    )
+    numbered = number_in_order(fresh, [order], "__number", buckets)
+    numbered = numbered.withColumn(output, (start + F.col("__number")).cast("bigint")).drop("__number")
     return kept.unionByName(numbered)

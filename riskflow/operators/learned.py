@@ -3,24 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
     Imputer,
     ImputerModel,
     OneHotEncoder,
+    SQLTransformer,
     StringIndexer,
-    StringIndexerModel,
     VectorAssembler,
 )
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.functions.sqltext import literal, quoted
+from riskflow.operators.ids import number_in_order
 from riskflow.schema import ATTRIBUTES
 
 NUMERIC = ("avg_glucose_level", "bmi", "age")
 CATEGORICAL = tuple(name for name in ATTRIBUTES if name not in NUMERIC)
-_MAX_CATEGORIES = 10_000
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str]) -> ImputerModel:
@@ -33,27 +35,40 @@ def impute_mode(df: DataFrame, columns: Sequence[str]) -> ImputerModel:
     return Imputer(strategy="mode", inputCols=list(columns), outputCols=list(columns)).fit(df)
 
 
-def check_category_counts(
-    df: DataFrame, columns: Sequence[str], limit: int = _MAX_CATEGORIES
-) -> None:
-    """Refuse columns whose vocabulary would not fit a driver-side index."""
-    counts = df.agg(*[F.approx_count_distinct(name).alias(name) for name in columns]).first()
-    wide = [name for name in columns if counts[name] > limit]
-    if wide:
-        raise ValueError(f"too many categories to index (over {limit}): {', '.join(wide)}")
+@dataclass(frozen=True)
+class CategoryIndex:
+    """Fitted index of categories: per column a written table (category, idx) of any length."""
+
+    tables: dict[str, DataFrame]
+    handle_invalid: str = "error"
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``<column>_idx``; a category that was not fitted fails, or is null with ``keep``."""
+        for name, ranked in self.tables.items():
+            output = f"{name}_idx"
+            ranks = ranked.select(F.col("category").alias("__category"), F.col("idx").alias(output))
+            df = df.join(ranks, F.col(name).cast("string") == F.col("__category"), "left").drop("__category")
+            if self.handle_invalid == "error":
+                unknown = F.raise_error(F.concat(F.lit(f"unknown {name}: "), F.coalesce(F.col(name).cast("string"), F.lit("null"))))
+                df = df.withColumn(output, F.coalesce(output, unknown.cast("double")))
+        return df
 
 
 def index_categories(
     df: DataFrame, columns: Sequence[str], handle_invalid: str = "error"
-) -> StringIndexerModel:
-    """Fitted index, commonest category first, equal counts by name."""
-    check_category_counts(df, columns)
-    return StringIndexer(
-        inputCols=list(columns),
-        outputCols=[f"{name}_idx" for name in columns],
-        stringOrderType="frequencyDesc",
-        handleInvalid=handle_invalid,
-    ).fit(df)
+) -> CategoryIndex:
+    """Fitted index, commonest category first, equal counts by name.
+
+    The values are counted and numbered as a table, so a column may have any
+    number of them; nothing is collected.
+    """
+    tables = {}
+    for name in columns:
+        counts = df.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("string").alias("category"))
+        counted = counts.agg((-F.count("*")).alias("rarity"))
+        numbered = number_in_order(counted, ["rarity", "category"], "idx")
+        tables[name] = numbered.select("category", F.col("idx").cast("double").alias("idx"))
+    return CategoryIndex(tables, handle_invalid)
 
 
 def learned_encoder(
@@ -62,11 +77,23 @@ def learned_encoder(
     categorical: Sequence[str] = CATEGORICAL,
     handle_invalid: str = "error",
 ) -> PipelineModel:
-    """All stages fitted as one model that is saved and loaded as a whole."""
-    check_category_counts(df, categorical)
+    """All stages fitted as one model that is saved and loaded as a whole.
+
+    A null category becomes the commonest one, and equal counts the one that sorts
+    first, before it is indexed.  The one-hot width is the number of categories, so
+    the columns are meant to have few; :func:`index_categories` has no such bound.
+    """
+    modes = df.agg(*[F.mode(name, True).alias(name) for name in categorical]).first()
+    filled = [
+        f"coalesce({quoted(name)}, {literal(modes[name])}) AS {quoted(name)}"
+        if name in categorical and modes[name] is not None
+        else quoted(name)
+        for name in df.columns
+    ]
     indexed = [f"{name}_idx" for name in categorical]
     encoded = [f"{name}_enc" for name in categorical]
     stages = [
+        SQLTransformer(statement=f"SELECT {', '.join(filled)} FROM __THIS__"),
         Imputer(strategy="mean", inputCols=list(numeric), outputCols=list(numeric)),
         StringIndexer(
             inputCols=list(categorical),
@@ -74,6 +101,7 @@ def learned_encoder(
             stringOrderType="frequencyDesc",
             handleInvalid=handle_invalid,
         ),
+        # A column of one category gets no slot; as a nominal column the encoder would refuse it.
         Imputer(strategy="mode", inputCols=indexed, outputCols=indexed),
         OneHotEncoder(inputCols=indexed, outputCols=encoded),
         VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features"),

@@ -111,10 +111,12 @@ def count_reasons(tagged: DataFrame) -> DataFrame:
     )
 
 
-def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Rows without null or NaN; the null tests are pushed into the file scan."""
+def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows without null or NaN in ``columns`` (all by default); the tests are pushed into the scan."""
     tests = []
     for field in df.schema:
+        if columns is not None and field.name not in columns:
+            continue
         tests.append(f"{quoted(field.name)} IS NOT NULL")
         if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             tests.append(f"NOT isnan({quoted(field.name)})")

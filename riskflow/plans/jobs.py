@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Model
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ from riskflow.operators.validate import (
     tag_records,
 )
 from riskflow.operators.verdict import verdicts
-from riskflow.schema import FORM_RULES, ID, INTAKE_COLUMNS, TRAIN_FRACTION, Rule
-from riskflow.sources.readers import load_model, scan_records, spread
+from riskflow.schema import ATTRIBUTES, FORM_RULES, ID, INTAKE_COLUMNS, TRAIN_FRACTION, Rule
+from riskflow.sources.readers import load_model, scan_records
 from riskflow.sources.writers import save_model
 from riskflow.workspace import ensure_checkpoint_dir, run_dir
 
@@ -38,8 +39,9 @@ TRAINING_TABLE = T.StructType(
         T.StructField("side", T.StringType()),
     ]
 )
-#: Gains from more tasks even on small tables; the others wait for their many short jobs.
-HEAVY_PER_ROW = {"forest"}
+#: Partitions of a training side, unless the job names another number.  Bagging follows the
+#: layout, so it must depend neither on the cores nor on how the files were packed.
+FIT_PARTITIONS = 32
 TRAINERS = {"forest": train_forest, "gbt": train_gbt, "svc": train_svc}
 
 
@@ -61,21 +63,30 @@ def write_training_table(
     executor memory, and cuts the lineage.
     """
     path = f"{run_dir(spark, 'training')}/set"
-    side = F.when(in_fraction(ID, fraction, seed), "train").otherwise("test")
-    training_set(records).withColumn("side", side).write.partitionBy("side").parquet(path)
+    # A record without an id is drawn by its attributes.
+    drawn = F.coalesce(F.col(ID).cast("string"), F.md5(F.to_json(F.struct(*ATTRIBUTES))))
+    placed = records.withColumn("_drawn", drawn)
+    side = F.when(in_fraction("_drawn", fraction, seed), "train").otherwise("test")
+    training_set(placed, extra=("_drawn",)).withColumn("side", side).drop("_drawn").write.partitionBy(
+        "side"
+    ).parquet(path)
     return path
 
 
 def training_side(
-    spark: SparkSession, path: str, side: str, spread_out: bool = False
+    spark: SparkSession, path: str, side: str, partitions: int = FIT_PARTITIONS
 ) -> DataFrame:
     """The ``train`` or ``test`` folder, weighted by the class balance of both.
 
-    The balance is a subquery over the label column of the table.
+    The balance is a subquery over the label column of the table.  Rows are laid
+    out by id, so that a fit is the same on any cluster.
     """
-    table = spark.read.schema(TRAINING_TABLE).parquet(path)
-    weighted = with_class_weights(spread(table, ID) if spread_out else table)
-    return weighted.where(F.col("side") == side)
+    weighted = with_class_weights(spark.read.schema(TRAINING_TABLE).parquet(path))
+    return (
+        weighted.where(F.col("side") == side)
+        .repartition(partitions, ID)
+        .sortWithinPartitions(ID, F.xxhash64(vector_to_array("features"), "label"))
+    )
 
 
 def train_job(
@@ -86,6 +97,7 @@ def train_job(
     options: Mapping[str, dict] | None = None,
     seed: int = 42,
     raw_areas: bool = False,
+    partitions: int = FIT_PARTITIONS,
 ) -> dict[str, TrainedModel]:
     """Fit on 70 % of the records, evaluate on the rest, then save each model under ``out``.
 
@@ -100,7 +112,7 @@ def train_job(
     test = training_side(spark, table, "test")
     trained = {}
     for kind in kinds:
-        train = training_side(spark, table, "train", spread_out=kind in HEAVY_PER_ROW)
+        train = training_side(spark, table, "train", partitions)
         save_model(TRAINERS[kind](train, **(options or {}).get(kind, {})), f"{fresh}/{kind}")
         model = load_model(kind, f"{fresh}/{kind}")
         tested = model.transform(test)

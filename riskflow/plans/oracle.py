@@ -321,6 +321,11 @@ SELECT id, CASE WHEN bmi IS NOT NULL THEN hypertension ELSE (
 FROM intake"""
     ),
     "index_categories": _index_categories(),
+    "index_categories_wide": _with(
+        [_rank_cte("l_orderkey", "lineitem").lstrip()],
+        "SELECT l_orderkey, l_linenumber, CAST(idx AS DOUBLE) AS l_orderkey_idx FROM lineitem "
+        "JOIN l_orderkey_rank ON category = CAST(l_orderkey AS VARCHAR)",
+    ),
     "learned_encoder": _learned_encoder(),
     "confusion": _with([_INTAKE, _CONFUSION], "SELECT tp, fp, fn, tn FROM cells"),
     "hard_auc": _with(

@@ -8,9 +8,11 @@ from pyspark.ml.classification import (
     LinearSVCModel,
     RandomForestClassificationModel,
 )
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
+from riskflow.functions.sqltext import quoted
 from riskflow.schema import CSV_NULL, INTAKE, TRAINING
 
 _MODEL_CLASSES = {
@@ -23,13 +25,26 @@ _MODEL_CLASSES = {
 def read_training_csv(
     spark: SparkSession, path: str, schema: StructType | None = TRAINING
 ) -> DataFrame:
-    """CSV with a header and ``N/A`` for null.
+    """CSV with a header and ``N/A`` for null, columns taken by name in any order.
 
-    Without a schema the types are inferred, which reads the data twice.
+    A missing column is an error now, a value that does not fit its type one when
+    it is read: no row is lost silently.  Without a schema the types are inferred,
+    which reads the data twice.
     """
     reader = spark.read.option("header", True).option("nullValue", CSV_NULL)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    if schema is None:
+        return reader.option("inferSchema", True).csv(path)
+    text = reader.csv(path)
+    if missing := [name for name in schema.names if name not in text.columns]:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+
+    def typed(field: StructField) -> Column:
+        value = F.expr(f"try_cast({quoted(field.name)} AS {field.dataType.simpleString()})")
+        raw = F.col(quoted(field.name))
+        wrong = F.concat(F.lit(f"{field.name} is malformed: "), raw)
+        return F.when(raw.isNotNull() & value.isNull(), F.raise_error(wrong)).otherwise(value).alias(field.name)
+
+    return text.select(*[typed(field) for field in schema])
 
 
 def scan_records(spark: SparkSession, path: str, schema: StructType = INTAKE) -> DataFrame:
@@ -56,17 +71,6 @@ def read_intake_stream(
     return reader.parquet(path)
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Redistribute a small scan over all cores, for work that is heavy per row.
-
-    A scan with a split or more per core, so any large table, passes as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, key)
-
-
 def load_model(kind: str, path: str) -> Model:
     """A fitted ``forest``, ``gbt`` or ``svc``."""
     return _MODEL_CLASSES[kind].load(path)

@@ -49,7 +49,7 @@ def export_json_gz(
 
 def export_folder(root: str, key: int, moment: dt.datetime) -> str:
     """Where the export of one record goes.  File systems refuse ``:``, so it becomes ``-``."""
-    stamp = moment.isoformat(sep="_").replace(":", "-")
+    stamp = moment.isoformat(sep="_", timespec="microseconds").replace(":", "-")
     return f"{root.rstrip('/')}/{key}_{stamp}.bin.gz"
 
 

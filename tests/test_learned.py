@@ -1,11 +1,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from riskflow.operators.learned import (
-    check_category_counts,
     impute_mean,
     impute_mode,
     index_categories,
@@ -25,10 +25,24 @@ def test_index_by_count_then_name(spark):
     assert {row.v: row.v_idx for row in indexed.collect()} == {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0}
 
 
-def test_unbounded_vocabulary_is_refused(spark):
-    df = spark.range(5000).select(F.col("id").cast("string").alias("v"))
-    with pytest.raises(ValueError, match="too many categories"):
-        check_category_counts(df, ["v"], limit=1000)
+def test_a_column_may_have_any_number_of_categories(spark):
+    df = spark.range(15000).select(F.format_string("%05d", "id").alias("v"))
+    indexed = index_categories(df, ["v"]).transform(df)
+    assert indexed.where("v_idx <> CAST(v AS DOUBLE)").count() == 0 and indexed.count() == 15000
+
+
+def test_unknown_category(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    other = spark.createDataFrame([("b",)], "v string")
+    assert index_categories(df, ["v"], "keep").transform(other).first().v_idx is None
+    with pytest.raises(PySparkException, match="unknown v: b"):
+        index_categories(df, ["v"]).transform(other).collect()
+
+
+def test_null_category_becomes_the_commonest(spark, records):
+    df = records({"id": 1}, {"id": 2}, {"id": 3, "gender": "Male"}, {"id": 4, "gender": None})
+    rows = {row.id: row.features for row in learned_encoder(df).transform(df).collect()}
+    assert rows[4] == rows[1] != rows[3]
 
 
 def test_encoder_is_saved_as_a_whole(spark, records, folder):
