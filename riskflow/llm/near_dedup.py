@@ -13,13 +13,14 @@ out by the first half key, if another document has it too, and the second halves
 are laid out where they arrive.
 
 Links are verified on the full sets.  First each member of a bucket is compared
-with the bucket's smallest id.  The links found join most of a bucket; pairs of
-one bucket that are still in different components are then compared as well, so
-that no candidate link that could change a component is left out, while pairs of
-copies are not spelled out.
+with the bucket's leader, the document that meets the most others.  The links
+found join most of a bucket; pairs of one bucket that are still in different
+components, and that neither their sizes nor their distances from the leader rule
+out, are then compared as well.  So no candidate link that could change a
+component is left out, while pairs of copies are not spelled out.
 
-Half keys with very many documents are cut into parts; each part has a smallest id
-of its own, and these are compared with the smallest of all parts.
+Half keys with very many documents are cut into parts; each part has a leader of
+its own, and these are compared with one of them.
 
 Defined cases: a text without a word, null included, has an empty set and is
 linked with nothing; one with fewer than five words has its whole sequence as its
@@ -152,9 +153,11 @@ def _classes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _buckets(members: DataFrame) -> DataFrame:
-    """(bucket, id, n, leader, split) for each representative in a bucket that others may share.
+    """(bucket, part, id, size, leader, split) for each representative in a bucket that others may share.
 
-    ``split`` tells that the bucket has several parts, each with a leader.
+    ``split`` tells that the bucket has several parts, each with a leader: the
+    document that meets the most others over all its buckets, which in a family
+    of copies is one near the common origin.
     """
     halves = members.where(F.col("first").isNotNull()).select(
         "id", F.col("n_shingles").alias("size"), "second", F.posexplode("first").alias("i", "half")
@@ -165,13 +168,24 @@ def _buckets(members: DataFrame) -> DataFrame:
     )
     same = Window.partitionBy("_key", "i", "half", "_part", "j", "other")
     split = F.col("_parts") > 1
-    return written(
-        laid_out.withColumn("leader", F.min("id").over(same))
-        .withColumn("n_same", F.count("*").over(same))
+    met = written(
+        laid_out.withColumn("n_same", F.count("*").over(same))
         .where(split | (F.col("n_same") > 1))
-        .select(F.xxhash64("i", "half", "j", "other").alias("bucket"), "id", "size", "leader", split.alias("split")),
-        "near-buckets",
+        .select(
+            F.xxhash64("i", "half", "j", "other").alias("bucket"),
+            F.col("_part").alias("part"),
+            "id",
+            "size",
+            "n_same",
+            split.alias("split"),
+        ),
+        "near-met",
     )
+    degrees = met.groupBy("id").agg(F.sum("n_same").alias("degree"))
+    rank = F.struct("degree", (-F.col("id")).alias("first"))
+    leader = F.max_by("id", rank).over(Window.partitionBy("bucket", "part"))
+    led = met.join(degrees, "id").withColumn("leader", leader)
+    return written(led.select("bucket", "part", "id", "size", "leader", "split"), "near-buckets")
 
 
 def _to_leaders(buckets: DataFrame) -> DataFrame:
@@ -184,31 +198,55 @@ def _to_leaders(buckets: DataFrame) -> DataFrame:
     return pairs.where("a <> b").distinct()
 
 
-def _across(buckets: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components whose sizes allow a link."""
-    placed = buckets.join(joined, "id", "left").select(
-        "bucket", "id", "size", F.coalesce("component", "id").alias("component")
+def _across(buckets: DataFrame, joined: DataFrame, compared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket in different components that may be linked.
+
+    Sizes rule a pair out, and so do the distances of both from their leader:
+    Jaccard distance is a metric.
+    """
+    to_leader = compared.select(F.col("a").alias("leader"), F.col("b").alias("id"), "distance")
+    placed = (
+        buckets.join(joined, "id", "left")
+        .join(to_leader, ["leader", "id"], "left")
+        .select(
+            "bucket",
+            "leader",
+            "id",
+            "size",
+            F.coalesce("component", "id").alias("component"),
+            F.when(F.col("leader") == F.col("id"), 0.0).otherwise(F.col("distance")).alias("distance"),
+        )
     )
     placed = written(placed, "near-placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     open_ = placed.join(mixed.where("low <> high").select("bucket"), "bucket", "left_semi")
     open_ = written(open_, "near-open")
     x, y = open_.alias("x"), open_.alias("y")
-    fits = (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * SIMILARITY) & (
-        F.col("x.component") < F.col("y.component")
+    most = 1 - SIMILARITY / 100 + 1e-9
+    apart = (F.col("x.leader") == F.col("y.leader")) & (
+        F.abs(F.col("x.distance") - F.col("y.distance")) > most
+    )
+    fits = (
+        (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * SIMILARITY)
+        & (F.col("x.component") < F.col("y.component"))
+        # A pair with its own leader has been compared.
+        & (F.col("x.leader") != F.col("y.id"))
+        & (F.col("y.leader") != F.col("x.id"))
+        & ~F.coalesce(apart, F.lit(False))
     )
     pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & fits)
     return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    """Whether two sorted sets without repeats are similar enough."""
-    common = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * common >= SIMILARITY * (len(a) + len(b) - common)
+def compare(a: np.ndarray, b: np.ndarray) -> tuple[bool, float]:
+    """Whether two sorted sets without repeats are similar enough, and their Jaccard distance."""
+    union = len(np.union1d(a, b))
+    common = len(a) + len(b) - union
+    return 100 * common >= SIMILARITY * union, 1 - common / union
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar.  ``texts`` is a table (id, text)."""
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, linked, distance) of each pair by the full sets.  ``texts`` is a table (id, text)."""
     pairs = written(pairs, "near-pairs")
     counted = pairs.groupBy("a").agg(F.count("*").alias("n"))
     of_a = counted.join(texts, counted["a"] == texts["id"]).select("a", "n", F.col("text").alias("text_a"))
@@ -218,20 +256,23 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known, hashes = None, None, WordHashes()
         for batch in batches:
-            keep = []
+            found = []
             if len(hashes) > 300_000:
                 hashes = WordHashes()
             for a, text_a, text_b in zip(*(batch.column(i) for i in (0, 2, 3)), strict=True):
                 if a != last:
                     last, known = a, shingle_sets([text_a.as_py()], hashes)[0]
-                keep.append(similar(known, shingle_sets([text_b.as_py()], hashes)[0]))
+                found.append(compare(known, shingle_sets([text_b.as_py()], hashes)[0]))
+            linked = pa.array([yes for yes, _ in found], pa.bool_())
+            distance = pa.array([d for _, d in found], pa.float64())
             yield pa.RecordBatch.from_arrays(
-                [c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], ["a", "b"]
+                [*batch.columns[:2], linked, distance], ["a", "b", "linked", "distance"]
             )
 
     id_type = pairs.schema["a"].dataType.simpleString()
     both = salted_join(with_b, of_a, ["a"], "n", "b").select("a", "b", "text_a", "text_b")
-    return written(both.mapInArrow(verified, f"a {id_type}, b {id_type}"), "near-links")
+    schema = f"a {id_type}, b {id_type}, linked boolean, distance double"
+    return written(both.mapInArrow(verified, schema), "near-compared")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -242,10 +283,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     texts = written(texts.join(ids, "id", "left_semi"), "near-texts")
 
-    to_leaders = _to_leaders(buckets)
-    links = _links(to_leaders, texts)
-    across = _across(buckets, components(links)).join(to_leaders, ["a", "b"], "left_anti")
-    more = _links(across, texts)
+    first = _compared(_to_leaders(buckets), texts)
+    links = first.where("linked").select("a", "b")
+    across = _across(buckets, components(links), first)
+    more = _compared(across, texts).where("linked").select("a", "b")
     joined = components(links.unionByName(more)).withColumnRenamed("id", "rep")
 
     sized = joined.join(classes, "rep", "left").select("rep", "component", F.coalesce("n", F.lit(1)).alias("n"))
