@@ -5,13 +5,16 @@ at step j it puts out the word under its pointer and then moves on or stays, by
 random bit for that step and word.  Two sequences that walk with the same bits
 fall into step again after an edit, so a small edit distance becomes a small
 Hamming distance.  Sampling a few coordinates of the embedding is therefore a
-locality-sensitive hash of edit distance.
+locality-sensitive hash of edit distance.  Long walks part for good, so the
+coordinates of a repetition lie in a short stretch from a random place, the anchor,
+of the items, and never past the end of an item: every key is one that a copy has.
 
-Every word of a document starts a window of the size of each class of items.  A
-window goes on only while its sampled words so far begin the key of some item; a
-window that completes a key is compared with that item by exact edit distance.
-The number of repetitions is raised until simulated copies with ``EDITS`` of the
-words edited are found with probability ``RECALL``; unedited copies always are.
+Every word of a document starts a walk for each class of items, as if it were the
+anchor.  A walk goes on only while its sampled words so far begin the key of some
+item; where it completes a key, the text around, shifted back by the anchor, is
+compared with that item by exact edit distance.  Repetitions are added, without a
+limit, until fresh simulated copies with ``EDITS`` of the words edited are found
+with probability ``RECALL``; unedited copies always are.
 
 The items are the query set: slices of at most ``BENCHMARK_BYTES`` are shipped to
 the tasks, one pass over the documents for each slice.
@@ -26,6 +29,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,8 +44,10 @@ from riskflow.llm.common import chunks
 EDITS = 0.15
 RECALL = 0.97
 MIN_WORDS = 5
-#: Words sampled for a key, and repetitions at most.
-SAMPLED, MOST_REPEATS = 3, 48
+#: Words sampled for a key, and steps of the stretch they are sampled from at most.
+SAMPLED, STRETCH = 3, 24
+#: Simulated copies of a class at least, and of each item.
+TRIALS, TRIALS_EACH = 2000, 4
 #: Items of a class differ in length by less than this factor.
 CLASS_FACTOR = 1.5
 BENCHMARK_BYTES = 32 << 20
@@ -75,10 +81,12 @@ def _is_in(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Repeat:
-    """One walk and the coordinates sampled from it, with the keys of the items of a class."""
+    """One walk from the anchor and the coordinates sampled from it, with the keys of the items of a class."""
 
+    anchor: int
     steps: list[tuple[np.uint64, np.uint64]]
     sampled: list[int]
+    keys: np.ndarray | None = None
     begun: list[np.ndarray] = field(default_factory=list)
     items_of: dict[int, list[int]] = field(default_factory=dict)
 
@@ -103,35 +111,59 @@ class Repeat:
         sampled = self.sampled
         for n in range(1, len(sampled) + 1):
             self.sampled = sampled[:n]
-            _, keys = self.walk(words, starts, filtered=False)
-            self.begun.append(np.unique(keys))
+            _, self.keys = self.walk(words, starts + self.anchor, filtered=False)
+            self.begun.append(np.unique(self.keys))
         self.sampled = sampled
-        for item, key in zip(items, keys.tolist(), strict=True):
+        for item, key in zip(items, self.keys.tolist(), strict=True):
             self.items_of.setdefault(key, []).append(item)
 
 
-def _laid_out(texts: list[list[int]], pad: int) -> tuple[np.ndarray, np.ndarray]:
-    """All words in a row, texts parted by breaks; and where each text starts."""
+def _laid_out(texts: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All words in a row, a break after each text; and where each text starts."""
     flat, starts = [], []
     for text in texts:
         starts.append(len(flat))
         flat.extend(text)
-        flat.extend([_BREAK] * pad)
+        flat.append(_BREAK)
     return np.array(flat, np.int64), np.array(starts, np.int64)
 
 
-def _edited(words: list[int], edits: int, rng: np.random.Generator) -> list[int]:
-    """A copy with random substitutions, insertions and deletions."""
-    words = list(words)
-    for _ in range(edits):
-        at, kind = int(rng.integers(len(words))), int(rng.integers(3))
+def _edited(words: list[int], edits: int, rng: np.random.Generator) -> tuple[list[int], list[float]]:
+    """A copy with random substitutions, insertions and deletions; and where its words were."""
+    words, were = list(words), [float(i) for i in range(len(words))]
+    for share, kind in zip(rng.random(edits).tolist(), rng.integers(3, size=edits).tolist(), strict=True):
+        at = int(share * len(words))
         if kind == 0:
             words[at] = _OUTSIDE
         elif kind == 1:
             words.insert(at, _OUTSIDE)
+            were.insert(at, were[at] - 0.5)
         elif len(words) > 1:
-            del words[at]
-    return words
+            del words[at], were[at]
+    return words, were
+
+
+@dataclass
+class Trials:
+    """Edited copies of the items of a class, each ``of`` the member of that position."""
+
+    of: np.ndarray
+    words: np.ndarray
+    starts: np.ndarray
+    were: list[list[float]]
+
+    @classmethod
+    def draw(cls, members: list[int], items: list[list[int]], rng: np.random.Generator) -> Trials:
+        each = max(TRIALS_EACH, math.ceil(TRIALS / len(members)))
+        of = np.repeat(np.arange(len(members)), each)
+        drawn = [_edited(items[members[k]], allowed_edits(len(items[members[k]])), rng) for k in of.tolist()]
+        return cls(of, *_laid_out([words for words, _ in drawn]), [were for _, were in drawn])
+
+    def met(self, repeat: Repeat) -> np.ndarray:
+        """Copies whose walk from the anchor has the key of their item."""
+        shifts = np.array([bisect_left(were, repeat.anchor) for were in self.were], np.int64)
+        _, keys = repeat.walk(self.words, self.starts + shifts, filtered=False)
+        return keys == repeat.keys[self.of]
 
 
 @dataclass
@@ -180,19 +212,21 @@ class Benchmark:
         text_of = np.repeat(np.arange(len(sizes)), sizes)
         words[np.arange(len(known)) + text_of] = known
         inside = np.concatenate([[0], np.cumsum(words > 0)])
-        found: set[tuple[int, int]] = set()
+        found: set[tuple[int, int, int]] = set()
         for group in self.classes:
-            # A window of an item has at most the edited words, and as many after its end, that are foreign.
-            ends = np.minimum(np.arange(len(words)) + group.least, len(words))
-            enough = inside[ends] - inside[:-1] >= group.least - 2 * group.most_edits
-            starts = np.flatnonzero(enough & (words != _BREAK))
+            # Around an item's anchor are at most the edited words, and as many beyond its ends, that are foreign.
+            known_before = np.pad(inside, group.least, mode="edge")
+            enough = known_before[group.least :] - known_before[: -group.least] >= group.least - 2 * group.most_edits
             for repeat in group.repeats:
+                shift = group.least - repeat.anchor
+                starts = np.flatnonzero(enough[shift : shift + len(words)] & (words != _BREAK))
                 at, keys = repeat.walk(words, starts, filtered=True)
-                for place, key in zip(at.tolist(), keys.tolist(), strict=True):
-                    found.update((item, place) for item in repeat.items_of.get(key, ()))
+                source = np.searchsorted(first, at, "right") - 1
+                places = np.maximum(at - repeat.anchor, first[source])
+                for text, place, key in zip(source.tolist(), places.tolist(), keys.tolist(), strict=True):
+                    found.update((item, text, place) for item in repeat.items_of.get(key, ()))
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for item, low, high in _merged(found, self.items):
-            text = int(np.searchsorted(first, low, "right")) - 1
+        for item, text, low, high in _merged(found, self.items):
             edits = allowed_edits(len(self.items[item]))
             a = max(int(first[text]), low - edits)
             b = min(int(first[text] + sizes[text]), high + len(self.items[item]) + edits)
@@ -206,40 +240,47 @@ class Benchmark:
         return sorted((text, item, start, d) for (text, item), (d, start) in best.items())
 
 
-def _merged(found: set[tuple[int, int]], items: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
-    """Candidate places of an item, neighbours less than half an item apart as one range."""
-    item = low = high = None
-    for i, place in sorted(found):
-        if i == item and place - high <= len(items[i]) // 2:
+def _merged(
+    found: set[tuple[int, int, int]], items: list[np.ndarray]
+) -> Iterator[tuple[int, int, int, int]]:
+    """Candidate places of an item in a text, neighbours less than half an item apart as one range."""
+    item = text = low = high = None
+    for i, t, place in sorted(found):
+        if i == item and t == text and place - high <= len(items[i]) // 2:
             high = place
             continue
         if item is not None:
-            yield item, low, high
-        item, low, high = i, place, place
+            yield item, text, low, high
+        item, text, low, high = i, t, place, place
     if item is not None:
-        yield item, low, high
+        yield item, text, low, high
+
+
+def _draw_repeat(least: int, rng: np.random.Generator) -> Repeat:
+    """A walk whose last sampled step, counted from the anchor, is inside items of ``least`` words."""
+    reach = min(least, STRETCH)
+    sampled = [0, *sorted((rng.choice(reach - 1, SAMPLED - 1, replace=False) + 1).tolist())]
+    odd = rng.integers(1 << 62, size=(sampled[-1] + 1, 2), dtype=np.uint64)
+    return Repeat(int(rng.integers(least - sampled[-1])), [(a, b | np.uint64(1)) for a, b in odd], sampled)
 
 
 def _size_class(members: list[int], items: list[list[int]], rng: np.random.Generator) -> SizeClass:
     sizes = [len(items[i]) for i in members]
     least, most_edits = min(sizes), allowed_edits(max(sizes))
-    reach = max(SAMPLED, int(1.5 * least))
-    pad = max(2 * reach, 4)
-    words, starts = _laid_out([items[i] for i in members], pad)
-    trials = [(i, _edited(items[i], allowed_edits(len(items[i])), rng)) for i in members for _ in range(4)]
-    copies, copy_starts = _laid_out([t for _, t in trials], pad)
-    met, repeats = np.zeros(len(trials), bool), []
-    position = {i: k for k, i in enumerate(members)}
-    while len(repeats) < MOST_REPEATS and (not repeats or met.mean() < RECALL):
-        sampled = sorted(rng.choice(reach, SAMPLED, replace=False).tolist())
-        odd = rng.integers(1 << 62, size=(sampled[-1] + 1, 2), dtype=np.uint64)
-        repeat = Repeat([(a, b | np.uint64(1)) for a, b in odd], sampled)
-        repeat.learn(words, starts, members)
-        _, own = repeat.walk(words, starts, filtered=False)
-        _, theirs = repeat.walk(copies, copy_starts, filtered=False)
-        met |= theirs == own[[position[i] for i, _ in trials]]
-        repeats.append(repeat)
-    return SizeClass(least, most_edits, members, repeats)
+    words, starts = _laid_out([items[i] for i in members])
+    repeats: list[Repeat] = []
+    while True:
+        # Copies that had no part in choosing the repetitions so far.
+        trials = Trials.draw(members, items, rng)
+        met = np.zeros(len(trials.of), bool)
+        for repeat in repeats:
+            met |= trials.met(repeat)
+        if repeats and met.mean() >= RECALL:
+            return SizeClass(least, most_edits, members, repeats)
+        while not repeats or met.mean() < RECALL:
+            repeats.append(_draw_repeat(least, rng))
+            repeats[-1].learn(words, starts, members)
+            met |= trials.met(repeats[-1])
 
 
 def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:

@@ -114,3 +114,40 @@ def test_passages(docs_of, spark):
     assert sorted(str(r["doc_id"]) for r in clean.collect()) == sorted(str(d) for d, _ in rows if d not in hit)
     assert decontaminate.find_passages(docs.where("false"), benchmark).collect() == []
     assert decontaminate.find_passages(docs, benchmark.where("false")).collect() == []
+
+
+def random_words(rng, n):
+    return [f"{rng.randrange(1 << 40):x}" for _ in range(n)]
+
+
+def edited_copy(rng, words):
+    words = list(words)
+    for _ in range(decontaminate.allowed_edits(len(words))):
+        at, kind = rng.randrange(len(words)), rng.randrange(3)
+        if kind < 2:
+            words[at : at + 1 - kind] = random_words(rng, 1)
+        else:
+            del words[at]
+    return words
+
+
+def test_edited_copies_of_long_items():
+    rng = random.Random(8)
+    for n in (300, 700, 1000):
+        items = [random_words(rng, n) for _ in range(10)]
+        benchmark = decontaminate.Benchmark.of([(i, " ".join(item)) for i, item in enumerate(items)])
+        docs = [
+            " ".join(random_words(rng, rng.randrange(40)) + edited_copy(rng, items[k % 10]) + random_words(rng, 20))
+            for k in range(100)
+        ]
+        found = {(text, item) for text, item, *_ in benchmark.matches(docs)}
+        assert found <= {(k, k % 10) for k in range(100)}
+        assert len(found) >= 92  # RECALL, less the spread of 100 draws
+
+
+def test_candidates_of_neighbouring_texts_are_kept_apart():
+    item = random_words(random.Random(9), 40)
+    benchmark = decontaminate.Benchmark.of([(0, " ".join(item))])
+    texts = [" ".join(item[:n]) for n in range(1, 30)]
+    found = benchmark.matches([t for text in texts for t in (text, " ".join(item))])
+    assert found == [(2 * k + 1, 0, 0, 0) for k in range(len(texts))]
