@@ -151,3 +151,12 @@ def test_candidates_of_neighbouring_texts_are_kept_apart():
     texts = [" ".join(item[:n]) for n in range(1, 30)]
     found = benchmark.matches([t for text in texts for t in (text, " ".join(item))])
     assert found == [(2 * k + 1, 0, 0, 0) for k in range(len(texts))]
+
+
+def test_verbatim_copies_of_short_items_are_found():
+    rng = random.Random(10)
+    for n in (5, 6, 7):
+        texts = [" ".join(random_words(rng, n)) for _ in range(300)]
+        for seed in range(5):
+            benchmark = decontaminate.Benchmark.of(list(enumerate(texts)), seed)
+            assert {(text, item) for text, item, *_ in benchmark.matches(texts)} == {(k, k) for k in range(300)}
