@@ -263,6 +263,17 @@ def learned_encoder(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def learned_encoder_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records, also those with gaps: bmi as it is, one text and one integer category nulled here and there."""
+    gaps = {
+        "smoking_status": F.when(F.col("id") % 11 != 0, F.col("smoking_status")),
+        "hypertension": F.when(F.col("id") % 13 != 0, F.col("hypertension")),
+    }
+    rows = views.records(spark, sf_dir).withColumns(gaps)
+    values = F.transform(vector_to_array("features"), lambda value: F.round(value, 6))
+    return learned.learned_encoder(rows).transform(rows).select("id", values.alias("features"))
+
+
 # --------------------------------------------------- evaluation, arbitration --
 def _rule_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.intake(spark, sf_dir).select(
@@ -494,6 +505,7 @@ QUERIES = {
     "index_categories": index_categories,
     "index_categories_wide": index_categories_wide,
     "learned_encoder": learned_encoder,
+    "learned_encoder_filled": learned_encoder_filled,
     "confusion": confusion,
     "hard_auc": hard_auc,
     "arbitrate": arbitrate,

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
@@ -11,6 +13,8 @@ from riskflow.operators.learned import (
     index_categories,
     learned_encoder,
 )
+from riskflow.plans import views
+from riskflow.plans.queries import QUERIES
 
 
 def test_impute(spark):
@@ -54,3 +58,38 @@ def test_encoder_is_saved_as_a_whole(spark, records, folder):
     assert {row.id: row.features for row in loaded.transform(df).collect()} == expected
     # two numerics as given, bmi imputed; one slot each for the two varying categories
     assert expected[3].size == 5 and expected[3][1] == pytest.approx(28.1)
+
+
+def features_by_hand(rows):
+    """Means and commonest categories in the gaps; one slot for each category but the rarest."""
+    numeric = ["avg_glucose_level", "bmi", "age"]
+    categorical = ["gender", "hypertension", "heart_disease", "ever_married", "work_type", "Residence_type", "smoking_status"]
+    for name in numeric:
+        known = [row[name] for row in rows if row[name] is not None]
+        mean = sum(known) / len(known)
+        rows = [{**row, name: mean if row[name] is None else row[name]} for row in rows]
+    slots = {}
+    for name in categorical:
+        known = Counter(row[name] for row in rows if row[name] is not None)
+        mode = min(known, key=lambda value: (-known[value], value))
+        rows = [{**row, name: mode if row[name] is None else row[name]} for row in rows]
+        filled = Counter(str(row[name]) for row in rows)
+        slots[name] = sorted(filled, key=lambda value: (-filled[value], value))[:-1]
+    return {
+        row["id"]: [row[name] for name in numeric]
+        + [float(str(row[name]) == slot) for name in categorical for slot in slots[name]]
+        for row in rows
+    }
+
+
+def test_encoder_fills_the_gaps_of_all_records(spark, sf_dir):
+    rows = [row.asDict() for row in views.records(spark, sf_dir).collect()]
+    for row in rows:
+        row["smoking_status"] = row["smoking_status"] if row["id"] % 11 else None
+        row["hypertension"] = row["hypertension"] if row["id"] % 13 else None
+    assert all(any(row[name] is None for row in rows) for name in ("bmi", "smoking_status", "hypertension"))
+    expected = features_by_hand(rows)
+    found = QUERIES["learned_encoder_filled"](spark, sf_dir).collect()
+    assert len(found) == len(rows) == len(expected)
+    for row in found:
+        assert row.features == pytest.approx(expected[row.id], abs=2e-6)
