@@ -5,8 +5,8 @@ result is written as Parquet and read again as the next one's ``docs``.  All but
 the last return the columns of ``documents``, whatever they are.
 
 A document without doc_id goes through the stages like any other as long as its
-text is new: exact copies of one are dropped, near copies of it are not looked
-for.  Rows that repeat a doc_id and its text are one document.
+text is new: of equal texts one row stays, whatever the ids, and one with an id
+before one without; near copies of a document without id are not looked for.
 """
 
 from __future__ import annotations

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import salted_join, semi_join_ids, written
+from riskflow.llm.common import free_name, salted_join, semi_join_ids, written
 
 DIGIT, WIDEN = 64, 8
 _SPACES = frozenset(b" \t\n\x0b\x0c\r")
@@ -123,10 +123,15 @@ def exact_duplicates(
 def drop_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The documents that stay, with all their columns.
+    """The documents that stay, with all their columns: one row of each group of equal texts.
 
-    Of rows that repeat an id and its text one stays.  Rows without an id cannot
-    be told apart: if one of them stays, they all do, but for repeated texts.
+    It is the row with the smallest id, a null id counting as larger than any
+    other; of several rows with that id, the first in a numbering of the rows that
+    is written down before the first round.
     """
-    kept = exact_duplicates(docs, id_column, text_column).where("kept").select(id_column).distinct()
-    return semi_join_ids(docs, kept, id_column).dropDuplicates([id_column, text_column])
+    number, place = free_name(docs, "row_number"), free_name(docs, "place")
+    rows = written(docs.withColumn(number, F.monotonically_increasing_id()), "radix-rows")
+    order = F.struct(F.col(id_column).isNull().alias("none"), F.col(id_column).alias("id"), F.col(number).alias("row"))
+    judged = exact_duplicates(rows.select(order.alias(place), text_column), place, text_column)
+    kept = judged.where("kept").select(F.col(place)["row"])
+    return semi_join_ids(rows, kept, number).drop(number)

@@ -99,3 +99,16 @@ def test_components_of_chains_and_stars(spark):
     found = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
     expected = {i: 0 for i in range(31)} | {100 + i: 100 for i in range(40)} | {150: 150, 200: 150}
     assert {r["id"]: r["component"] for r in found} == expected and len(found) == len(expected)
+
+
+def test_one_row_of_each_group_of_equal_texts_stays(docs_of):
+    rows = [
+        (1, "a b"), (None, "a  b"), (None, "new"), (None, "new"), (None, "other"), (None, "other "),
+        (2, "a\tb"), (2, "second"), (3, "second"), (3, "third"), (4, "x  y"), (4, "x y"), (None, None), (5, ""),
+    ]
+    left = exact_dedup.drop_duplicates(docs_of(*rows)).collect()
+    found = sorted((str(r["doc_id"]), exact_dedup.normalise(r["text"])) for r in left)
+    first = {}
+    for i, text in sorted(rows, key=lambda row: (row[0] is None, row[0] or 0)):
+        first.setdefault(exact_dedup.normalise(text), str(i))
+    assert found == sorted((i, text) for text, i in first.items())
