@@ -15,6 +15,7 @@ from riskflow.llm import (
     near_dedup,
     ppm,
     quality,
+    ranked_search,
     token_files,
     url_filter,
 )
@@ -76,6 +77,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_ppm": op2_ppm,
@@ -87,6 +93,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
+    "op12_ranked_search": op12_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -141,5 +148,34 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op12_ranked_search": r"""
+WITH words AS (
+  SELECT row_number() OVER () AS doc, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), sized AS (SELECT doc, doc_id, terms, len(terms) AS n FROM words WHERE len(terms) > 0
+), corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_words FROM sized
+), postings AS (
+  SELECT doc, term, count(*) AS tf FROM (SELECT doc, unnest(terms) AS term FROM sized) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, corpus GROUP BY term
+), asked AS (
+  SELECT item, item_id, term, count(*) AS times FROM (
+    SELECT row_number() OVER () AS item, item_id,
+           unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark) GROUP BY ALL
+), scored AS (
+  SELECT item, any_value(item_id) AS item_id, doc, any_value(doc_id) AS doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_words))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sized USING (doc), corpus
+  GROUP BY item, doc
+)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
 """,
 }
