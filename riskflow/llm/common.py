@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from heapq import nsmallest
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -138,6 +140,30 @@ class HashIndex:
         return found
 
 
+class Best:
+    """The k best rows of a query so far, as (-score, id is null, id); equal scores go by id, nulls last."""
+
+    def __init__(self, k: int, least: int = 1):
+        self.k, self.start, self.rows = k, least, []
+
+    def least(self) -> int:
+        """The score that a further row has to reach."""
+        return -self.rows[-1][0] if len(self.rows) == self.k else self.start
+
+    def add(self, scores: np.ndarray, rows: np.ndarray, ids: pa.Array) -> None:
+        """Take in rows by their scores; ``rows`` are their places among the ids."""
+        if len(scores) > self.k:
+            enough = scores >= np.partition(scores, -self.k)[-self.k]
+            scores, rows = scores[enough], rows[enough]
+        found = ids.take(pa.array(rows)).to_pylist()
+        more = [(-s, i is None, i if i is not None else 0) for s, i in zip(scores.tolist(), found, strict=True)]
+        self.rows = nsmallest(self.k, [*self.rows, *more])
+
+    def found(self) -> list[tuple[object, int]]:
+        """(id, score), best first."""
+        return [(None if absent else i, -score) for score, absent, i in self.rows]
+
+
 def chunks(texts: list[str | None], limit: int = 1 << 22) -> list[slice]:
     """Cut a list of texts where about ``limit`` characters have gathered; a longer text is alone."""
     cuts, start, size = [], 0, 0

@@ -5,12 +5,14 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskflow.llm import (
     byte_bpe,
     chat_format,
     decontaminate,
     exact_dedup,
+    hard_negatives,
     language_id,
     near_dedup,
     ppm,
@@ -77,6 +79,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = ranked_search.build_index(table(spark, sf_dir, "documents"))
     return ranked_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
@@ -93,6 +101,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_ranked_search": op12_ranked_search,
     "pipeline": corpus_pipeline.run,
 }
@@ -177,5 +186,35 @@ WITH words AS (
 SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
 FROM scored WHERE score > 0
 QUALIFY rank <= 10
+""",
+    "op11_hard_negatives": """
+WITH usable AS (
+  SELECT row_number() OVER () AS row, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), anchors AS (
+  SELECT row_number() OVER () AS anchor, * FROM (SELECT DISTINCT vec_id, label, v FROM usable WHERE vec_id % 100 = 0)
+), parts AS (
+  SELECT row, vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM usable
+), scored AS (
+  SELECT a.anchor, p.row, any_value(a.vec_id) AS anchor_id, any_value(p.vec_id) AS id,
+         any_value(a.label) = any_value(p.label) AS same, sum(a.x * p.x)::BIGINT AS score
+  FROM (SELECT anchor, vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM anchors) a
+  JOIN parts p USING (d) GROUP BY a.anchor, p.row
+), positives AS (
+  SELECT anchor, row AS positive, anchor_id, id AS positive_id, score AS positive_score
+  FROM scored WHERE same AND id <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.id)::INTEGER AS rank,
+       s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s
+  ON p.anchor = s.anchor AND NOT s.same AND 30 * p.positive_score <= 100 * s.score
+     AND 100 * s.score <= 90 * p.positive_score
+QUALIFY rank <= 10
 """,
 }

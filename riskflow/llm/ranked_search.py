@@ -41,7 +41,6 @@ import math
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from heapq import nsmallest
 from itertools import chain
 
 import numpy as np
@@ -50,7 +49,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import WordIds, chunks, written
+from riskflow.llm.common import Best, WordIds, chunks, written
 
 BLOCK = 128
 #: Words and documents of a shard at most.
@@ -282,25 +281,6 @@ class Corpus:
         return 25 + 75 * sizes.astype(np.int64) * self.n_docs // self.n_words
 
 
-class Best:
-    """The k best documents of a query so far, as (-score, id is null, id)."""
-
-    def __init__(self, k: int):
-        self.k, self.rows = k, []
-
-    def least(self) -> int:
-        """The score that a further document has to reach."""
-        return -self.rows[-1][0] if len(self.rows) == self.k else 1
-
-    def add(self, scores: np.ndarray, docs: np.ndarray, ids: pa.Array) -> None:
-        if len(scores) > self.k:
-            enough = scores >= np.partition(scores, -self.k)[-self.k]
-            scores, docs = scores[enough], docs[enough]
-        found = ids.take(pa.array(docs)).to_pylist()
-        rows = [(-s, i is None, i if i is not None else 0) for s, i in zip(scores.tolist(), found, strict=True)]
-        self.rows = nsmallest(self.k, [*self.rows, *rows])
-
-
 def run_query(shard: Shard, lists: np.ndarray, factors: np.ndarray, best: Best) -> None:
     """Bring the best documents up to date with a shard; ``factors`` are weights times repeats."""
     most = factors * shard.list_most[lists]
@@ -412,10 +392,9 @@ def search(
                     if has.any():
                         factors = corpus.term_weights[query[has, 0]] * query[has, 1]
                         run_query(shard, lists[has], factors, top)
-            rows = [(q, i, none, -s) for q, top in enumerate(best) for s, none, i in top.rows]
+            rows = [(q, *row) for q, top in enumerate(best) for row in top.found()]
             if rows:
-                number, ids, none, scores = zip(*rows, strict=True)
-                ids = [None if absent else i for i, absent in zip(ids, none, strict=True)]
+                number, ids, scores = zip(*rows, strict=True)
                 arrays = [
                     pa.array(number, pa.int64()),
                     pa.array([some.ids[q] for q in number]),
