@@ -18,6 +18,7 @@ from riskflow.llm import (
     ppm,
     quality,
     ranked_search,
+    secret_scan,
     token_files,
     url_filter,
 )
@@ -90,6 +91,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(index, table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan_digests(docs, secret_scan.train(secret_scan.labelled_samples(docs)))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_ppm": op2_ppm,
@@ -103,6 +109,7 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_ranked_search": op12_ranked_search,
+    "op13_secret_scan": op13_secret_scan,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -11,10 +11,11 @@ import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from riskflow.llm import byte_bpe, decontaminate, exact_dedup, quality
+from riskflow.llm import byte_bpe, decontaminate, exact_dedup, quality, secret_scan
 from riskflow.llm.queries import ORACLE_SQL, QUERIES
 
 from .test_dedup import near_by_hand
+from .test_secret_scan import scanned_by_hand
 
 
 @pytest.fixture(scope="module")
@@ -37,15 +38,24 @@ def test_query_equals_sql(spark, sf_dir, oracle, name):
 
 def test_contract_has_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 13)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLE_SQL) <= set(contract.oracle_sql())
 
 
-def test_url_query_stays_in_the_jvm(spark, sf_dir):
-    plan = QUERIES["op1_url_filter"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("name", ["op1_url_filter", "op13_secret_scan"])
+def test_native_queries_stay_in_the_jvm(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Arrow", "Join"))
 
 
+def test_secret_query(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    ratios = secret_scan.train(secret_scan.labelled_samples(docs)).collect()
+    model = {r["step"]: r["log_ratio"] for r in ratios}
+    expected = sorted(scanned_by_hand(r["doc_id"], r["text"], model) for r in docs.collect())
+    assert sorted(map(tuple, QUERIES["op13_secret_scan"](spark, sf_dir).collect())) == expected
+
+
 def test_near_query(spark, sf_dir):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     found = QUERIES["op7_near_dedup"](spark, sf_dir).collect()
