@@ -21,7 +21,7 @@ def top_record(df: DataFrame, key: str = ID) -> DataFrame:
     return df.orderBy(F.col(key).desc()).limit(1)
 
 
-def _is_unassigned(key: str) -> Column:
+def is_unassigned(key: str = ID) -> Column:
     return F.coalesce(F.col(key), F.lit(UNASSIGNED_ID)) == UNASSIGNED_ID
 
 
@@ -72,10 +72,10 @@ def assign_ids(
     ``existing`` must hold all ids in use, explicit ones of this batch included.
     """
     output = output or key
-    kept = records.where(~_is_unassigned(key)).withColumn(output, F.col(key).cast("bigint"))
+    kept = records.where(~is_unassigned(key)).withColumn(output, F.col(key).cast("bigint"))
     kind = records.schema[order].dataType
     missing = F.raise_error(F.lit(f"a record to be numbered has no {order}")).cast(kind)
-    fresh = records.where(_is_unassigned(key)).withColumn(order, F.coalesce(F.col(order), missing))
+    fresh = records.where(is_unassigned(key)).withColumn(order, F.coalesce(F.col(order), missing))
     start = next_id(existing, key).scalar()
     numbered = number_in_order(fresh, [order], "__number", buckets)
     numbered = numbered.withColumn(output, (start + F.col("__number")).cast("bigint")).drop("__number")

@@ -17,6 +17,8 @@ from riskflow.operators.balance import with_class_weights
 from riskflow.operators.encode import training_set
 from riskflow.operators.ids import assign_ids
 from riskflow.operators.metrics import evaluate_hard, evaluate_raw
+from riskflow.operators.review import audit
+from riskflow.operators.store import RecordStore
 from riskflow.operators.train import train_forest, train_gbt, train_svc
 from riskflow.operators.upsert import upsert_by_key
 from riskflow.operators.validate import (
@@ -129,24 +131,30 @@ class IntakeResult:
     stored: DataFrame
     rejected: DataFrame
     paths: dict[str, str] = field(default_factory=dict)
+    #: Records scored, their range of ids, and how many are positive.
+    counters: dict[str, int] = field(default_factory=dict)
 
 
 def score_batch(
     spark: SparkSession,
     submitted: DataFrame,
-    store: DataFrame,
+    store: DataFrame | RecordStore,
     models: Mapping[str, Model],
     out: str,
     order: str,
     rules: tuple[Rule, ...] = FORM_RULES,
+    partitions: int | None = None,
 ) -> IntakeResult:
     """Validate, number, store and score one batch of submissions.
 
     ``order`` is the unique arrival number.  The submissions are parsed and
     judged once, into a table with a folder per outcome.  The numbered records
-    are written too, so that storing and scoring see the same ids.  The next
-    state of the store goes to a new folder under ``out``; the store that was
-    read stays as it is.
+    are written too, so that storing and scoring see the same ids.  A
+    :class:`RecordStore`, which must have ``order`` as its order, gets the batch
+    put into the buckets it touches, and knows its highest id.  The next state of
+    a store given as a frame goes to a new folder under ``out``; the store that
+    was read stays as it is.  ``partitions`` says in how many tasks records are
+    scored, by default as they are written.
     """
     paths = {name: f"{out}/{name}" for name in ("submitted", "numbered", "store", "verdicts")}
     tagged = tag_records(submitted, rules)
@@ -157,15 +165,23 @@ def score_batch(
 
     accepted = accepted_records(judged.where("accepted").drop("accepted"))
     accepted = accepted.select(*INTAKE_COLUMNS, order)
-    in_use = store.select(ID).unionByName(accepted.select(ID))
-    assign_ids(accepted, in_use, order).write.parquet(paths["numbered"])
+    bucketed = isinstance(store, RecordStore)
+    highest = spark.range(store.next_id() - 1, store.next_id()).toDF(ID) if bucketed else store.select(ID)
+    assign_ids(accepted, highest.unionByName(accepted.select(ID)), order).write.parquet(paths["numbered"])
 
     numbered = spark.read.parquet(paths["numbered"])
-    upsert_by_key(store.select(*INTAKE_COLUMNS), numbered, [order]).write.parquet(paths["store"])
-    verdicts(numbered, models).write.parquet(paths["verdicts"])
+    if bucketed:
+        store.put(numbered)
+        paths["store"] = store.path
+    else:
+        upsert_by_key(store.select(*INTAKE_COLUMNS), numbered, [order]).write.parquet(paths["store"])
+    scored = verdicts(numbered if partitions is None else numbered.repartition(partitions), models)
+    scored, counters = audit(scored, "scored", positive="positive")
+    scored.write.parquet(paths["verdicts"])
     return IntakeResult(
         verdicts=spark.read.parquet(paths["verdicts"]),
-        stored=scan_records(spark, paths["store"]),
+        stored=store.read().select(*INTAKE_COLUMNS) if bucketed else scan_records(spark, paths["store"]),
         rejected=rejected_records(judged.where("NOT accepted").drop("accepted")),
         paths=paths,
+        counters=counters.get,
     )

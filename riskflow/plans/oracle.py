@@ -365,3 +365,27 @@ rates AS (
         "FROM tagged WHERE reason IS NULL",
     ),
 }
+
+_PARTS = """
+parts AS (
+  SELECT *, FLOOR((id - (SELECT MIN(id) FROM intake))
+                  / ((SELECT MAX(id) - MIN(id) FROM intake) // 4 + 1)) AS part FROM intake)"""
+
+ORACLE_SQL |= {
+    "store_upsert_bucketed": ORACLE_SQL["upsert_records"],
+    "lookup_bucketed": ORACLE_SQL["lookup_by_id"],
+    "stream_assign_ids": ORACLE_SQL["assign_ids"],
+    "stream_intake_text": _with(
+        [_INTAKE, _RAW, _TAGGED],
+        "SELECT CASE WHEN id % 101 = 0 THEN 'line:malformed' ELSE COALESCE(reason, 'ok') END AS reason, "
+        "COUNT(*) AS n FROM tagged GROUP BY 1",
+    ),
+    "stream_compact_twice": _LAST_EVENT,
+    "stream_state_latest": _LAST_EVENT,
+    "stream_batches": _with(
+        [_INTAKE, _PARTS],
+        "SELECT ROW_NUMBER() OVER (ORDER BY part) - 1 AS batch, COUNT(*) AS n FROM parts GROUP BY part",
+    ),
+    "stream_audit": ORACLE_SQL["audit_metrics"],
+    "stream_arbitrate_joined": _with([_INTAKE, _SCORES], _VERDICT),
+}

@@ -20,6 +20,7 @@ from riskflow.functions.records import (
 from riskflow.operators import balance, encode, ids, learned, metrics, review, score, upsert
 from riskflow.operators import validate, verdict
 from riskflow.plans import views
+from riskflow.plans.online import ONLINE
 from riskflow.plans.jobs import score_batch, train_job
 from riskflow.schema import (
     INTAKE_COLUMNS,
@@ -523,4 +524,5 @@ QUERIES = {
     "model_evaluation": model_evaluation,
     "stream_score": stream_score,
     "intake_to_verdict": intake_to_verdict,
+    **ONLINE,
 }

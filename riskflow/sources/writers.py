@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.records import record_json
+from riskflow.operators.review import audit
 from riskflow.schema import CSV_NULL, ID, INTAKE_COLUMNS
 
 
@@ -29,14 +30,15 @@ def export_json_gz(
     columns: tuple[str, ...] = INTAKE_COLUMNS,
     buckets: int | None = None,
     key: str = ID,
-) -> None:
-    """One JSON object per line, gzipped.
+) -> dict[str, int]:
+    """One JSON object per line, gzipped; returns the number of records and the range of their keys.
 
     ``buckets`` puts a bulk export into that many folders by key hash, for
     readers that fetch single records: one folder holds all lines of its keys.
     The rebalance keeps the files of a folder few and even, however large or
     hot the folder is.
     """
+    df, counters = audit(df, "exported", key)
     lines = df.select(record_json(columns).alias("value"))
     if buckets is not None:
         bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
@@ -45,6 +47,7 @@ def export_json_gz(
         lines.write.partitionBy("bucket").option("compression", "gzip").text(path)
     else:
         lines.write.option("compression", "gzip").text(path)
+    return counters.get
 
 
 def export_folder(root: str, key: int, moment: dt.datetime) -> str:

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session, or a folder in its warehouse, which is shared too."""
+    """``spark.checkpoint.dir`` of the session; without it, a local session uses its warehouse.
+
+    On a cluster the default warehouse lies on one machine, so there the setting must be made.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_riskflow"
 
 
@@ -25,6 +31,14 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def write_once(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the scratch folder: computed once, lineage cut."""
+    spark = df.sparkSession
+    path = f"{run_dir(spark, label)}/table"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give the tree learners a place to cut their lineage, unless one is set."""
     context = spark.sparkContext
