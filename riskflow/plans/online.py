@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Model
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.records import record_json
-from riskflow.operators import balance, validate
+from riskflow.operators import balance, encode, score, validate
 from riskflow.operators.ids import next_id
 from riskflow.operators.store import RecordStore
 from riskflow.plans import views
+from riskflow.plans.jobs import IntakeResult, score_batch, train_job
 from riskflow.schema import INTAKE, INTAKE_COLUMNS, TARGET, without_steps
-from riskflow.sources import readers
+from riskflow.sources import readers, writers
 from riskflow.streaming import audit, flows, intake
 from riskflow.workspace import run_dir
 
@@ -180,6 +182,101 @@ def stream_arbitrate_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select("id", "positive")
 
 
+# ------------------------------------------- models with a known answer --
+#: Partitions of a fit, and of scoring.
+PARTITIONS = 8
+KINDS = ("forest", "gbt", "svc")
+_learned: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def learned_models(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = KINDS[:2]) -> dict[str, Model]:
+    """Models of a target that is one of the fields, so that a right model makes no mistake."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _learned:
+        records = views.intake(spark, sf_dir).withColumn(TARGET, F.col("heart_disease"))
+        trained = train_job(spark, records, run_dir(spark, "learned"), kinds=KINDS, partitions=PARTITIONS)
+        _learned[key] = {kind: fitted.path for kind, fitted in trained.items()}
+    return {kind: readers.load_model(kind, _learned[key][kind]) for kind in kinds}
+
+
+def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    complete = validate.drop_incomplete(views.records(spark, sf_dir))
+    return encode.encode(complete.repartition(PARTITIONS))
+
+
+def _scored(rows: DataFrame, kind: str, model: Model) -> DataFrame:
+    """Class, and whether its confidence is that of the likelier of two."""
+    confidence = F.col(f"{kind}_confidence")
+    scored = score.score(rows, {kind: model})
+    return scored.select("id", F.col(f"{kind}_positive").alias("positive"), confidence.between(0.5, 1).alias("sure"))
+
+
+def score_learned_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_encoded(spark, sf_dir), "forest", learned_models(spark, sf_dir)["forest"])
+
+
+def score_learned_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(_encoded(spark, sf_dir), "gbt", learned_models(spark, sf_dir)["gbt"])
+
+
+def score_learned_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = learned_models(spark, sf_dir, KINDS)["svc"]
+    scored = score.score_class(_encoded(spark, sf_dir), "svc", model)
+    return scored.select("id", F.col("svc_positive").alias("positive"))
+
+
+def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Save what was loaded, load that, and score."""
+    copies = {}
+    for kind, model in learned_models(spark, sf_dir).items():
+        path = f"{run_dir(spark, 'model-copy')}/{kind}"
+        writers.save_model(model, path)
+        copies[kind] = readers.load_model(kind, path)
+    judged = score.arbitrate(score.score(_encoded(spark, sf_dir), copies), list(copies))
+    return judged.select("id", "positive")
+
+
+def stream_score_learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submitted lines, judged, numbered and scored, each by a stream of its own."""
+    root = run_dir(spark, "stream-learned")
+    _submitted_lines(spark, sf_dir).write.text(f"{root}/landing")
+    lines = intake.read_lines_stream(spark, f"{root}/landing")
+    intake.start_intake(lines, f"{root}/judged", f"{root}/judged-checkpoint", RULES).awaitTermination()
+    judged = spark.readStream.schema(intake.judged_schema()).parquet(f"{root}/judged")
+    intake.start_numbering(intake.accepted_from(judged), root, f"{root}/log-checkpoint").awaitTermination()
+    flows.start_scoring(
+        intake.read_log_stream(spark, root),
+        learned_models(spark, sf_dir),
+        f"{root}/verdicts",
+        f"{root}/verdicts-checkpoint",
+    ).awaitTermination()
+    return spark.read.parquet(f"{root}/verdicts").select("id", "positive", "message")
+
+
+def _taken_in(spark: SparkSession, sf_dir: str) -> IntakeResult:
+    """A store that holds all complete records a year younger, and the submissions put into it."""
+    root = run_dir(spark, "intake")
+    younger = validate.drop_incomplete(views.records(spark, sf_dir)).withColumn("age", F.col("age") - 1)
+    younger = younger.withColumn("seq", F.lit(-1).cast("bigint"))
+    store = RecordStore.create(spark, f"{root}/store", younger.schema, ["seq"])
+    store.put(younger)
+    submitted = views.intake_raw(spark, sf_dir).withColumn("seq", F.col("id"))
+    models = learned_models(spark, sf_dir)
+    return score_batch(spark, submitted, store, models, root + "/batch", "seq", RULES, PARTITIONS)
+
+
+def intake_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _taken_in(spark, sf_dir).verdicts.select("id", "positive", "message")
+
+
+def intake_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _taken_in(spark, sf_dir).stored
+
+
+def intake_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _taken_in(spark, sf_dir).rejected.select("id", "age", "reason")
+
+
 ONLINE = {
     "store_upsert_bucketed": store_upsert_bucketed,
     "lookup_bucketed": lookup_bucketed,
@@ -190,4 +287,12 @@ ONLINE = {
     "stream_batches": stream_batches,
     "stream_audit": stream_audit,
     "stream_arbitrate_joined": stream_arbitrate_joined,
+    "score_learned_forest": score_learned_forest,
+    "score_learned_gbt": score_learned_gbt,
+    "score_learned_svc": score_learned_svc,
+    "model_reload": model_reload,
+    "stream_score_learned": stream_score_learned,
+    "intake_verdicts": intake_verdicts,
+    "intake_stored": intake_stored,
+    "intake_rejected": intake_rejected,
 }

@@ -371,6 +371,10 @@ parts AS (
   SELECT *, FLOOR((id - (SELECT MIN(id) FROM intake))
                   / ((SELECT MAX(id) - MIN(id) FROM intake) // 4 + 1)) AS part FROM intake)"""
 
+# The target of the models is this field.
+_LEARNED = "SELECT id, heart_disease = 1 AS positive"
+_LEARNED_MESSAGE = f"CASE WHEN heart_disease = 1 THEN '{MESSAGE_HIGH}' ELSE '{MESSAGE_LOW}' END AS message"
+
 ORACLE_SQL |= {
     "store_upsert_bucketed": ORACLE_SQL["upsert_records"],
     "lookup_bucketed": ORACLE_SQL["lookup_by_id"],
@@ -388,4 +392,23 @@ ORACLE_SQL |= {
     ),
     "stream_audit": ORACLE_SQL["audit_metrics"],
     "stream_arbitrate_joined": _with([_INTAKE, _SCORES], _VERDICT),
+    "score_learned_forest": _on_intake(_LEARNED + ", TRUE AS sure FROM intake WHERE bmi IS NOT NULL"),
+    "score_learned_gbt": _on_intake(_LEARNED + ", TRUE AS sure FROM intake WHERE bmi IS NOT NULL"),
+    "score_learned_svc": _on_intake(_LEARNED + " FROM intake WHERE bmi IS NOT NULL"),
+    "model_reload": _on_intake(_LEARNED + " FROM intake WHERE bmi IS NOT NULL"),
+    "stream_score_learned": _with(
+        [_INTAKE, _RAW, _TAGGED],
+        f"{_LEARNED}, {_LEARNED_MESSAGE} FROM tagged WHERE reason IS NULL AND id % 101 <> 0",
+    ),
+    "intake_verdicts": _with(
+        [_INTAKE, _RAW, _TAGGED], f"{_LEARNED}, {_LEARNED_MESSAGE} FROM tagged WHERE reason IS NULL"
+    ),
+    "intake_stored": _with(
+        [_INTAKE, _RAW, _TAGGED],
+        f"SELECT {_RECORD} FROM (SELECT intake.* REPLACE (CASE WHEN tagged.reason IS NULL THEN intake.age "
+        "ELSE intake.age - 1 END AS age) FROM intake JOIN tagged USING (id)) WHERE bmi IS NOT NULL",
+    ),
+    "intake_rejected": _with(
+        [_INTAKE, _RAW, _TAGGED], "SELECT id, age, reason FROM tagged WHERE reason IS NOT NULL"
+    ),
 }
