@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskflow.sources import files
 from riskflow.workspace import run_dir
 
 #: A key with more than 1 / SHARES of all rows is dealt to several tasks; so at most SHARES keys are.
@@ -26,7 +27,15 @@ def written(df: DataFrame, label: str, partition_by: str | None = None) -> DataF
     path = f"{run_dir(spark, label)}/table"
     writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete tables that :func:`written` made and that nothing will read any more."""
+    for table in tables:
+        files.delete(table.sparkSession, table.written_to)
 
 
 def free_name(df: DataFrame, stem: str) -> str:

@@ -5,19 +5,24 @@ half keys are formed, each half key from ``ROWS`` minhashes; a table key is a ha
 key of the first collection with one of the second.  So HALVES ** 2 tables need
 only 2 * HALVES * ROWS minhashes, about the square root of what as many
 independent tables of that width would take.  A pair of similarity s meets in some
-table with probability (1 - (1 - s ** ROWS) ** HALVES) ** 2: 0.9999 at 0.75.
+table with probability (1 - (1 - s ** ROWS) ** HALVES) ** 2: 0.999 at 0.75, 0.16 at
+0.4.
 
 Documents with the same set are one class, represented by their smallest id; only
-representatives go on.  A table never has to be shuffled as such: rows are dealt
-out by the first half key, if another document has it too, and the second halves
-are laid out where they arrive.
-
-Links are verified on the full sets.  First each member of a bucket is compared
-with the bucket's leader, the document that meets the most others.  The links
-found join most of a bucket; pairs of one bucket that are still in different
-components, and that neither their sizes nor their distances from the leader rule
-out, are then compared as well.  So no candidate link that could change a
-component is left out, while pairs of copies are not spelled out.
+representatives go on.  No table is ever laid out: rows are dealt out by the first
+half key, if another document has it too, and the second halves are held against each
+other where two such documents are compared.
+
+Links are verified on the full sets.  First each member of a group, the documents
+with one first half key, is compared with the group's leader, the document with the
+most company in all its groups.  The links found join most of a group.  A group with
+members in different components is then cut into blocks, those of its largest
+component apart from all others, and every pair of blocks that can hold a missing link
+goes to one task.  It picks the pairs that meet in a table, in different components and
+with fitting sizes, each in the first group they share, counts their common shingles
+through an inverted list of the block, and gives the links that join components.
+So every candidate link that could change a component is looked at, while pairs are
+neither spelled out as rows nor sent with their texts.
 
 Half keys with very many documents are cut into parts; each part has a leader of
 its own, and these are compared with one of them.
@@ -36,14 +41,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import chunks, salted_join, semi_join_ids, written
+from riskflow.llm.common import chunks, forget, salted_join, semi_join_ids, written
 from riskflow.llm.components import components
 
 SHINGLE = 5
-HALVES, ROWS = 12, 2
+HALVES, ROWS = 20, 4
+#: Documents of a block, and their shingles, on average at most.
+BLOCK_DOCS, BLOCK_SHINGLES = 256, 200_000
 #: Least intersection as a share of the union, in per cent.
 SIMILARITY = 75
 
@@ -152,142 +159,241 @@ def _classes(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(members, "near-members"), same.select("rep", "n")
 
 
-def _buckets(members: DataFrame) -> DataFrame:
-    """(bucket, part, id, size, leader, split) for each representative in a bucket that others may share.
+def _groups(members: DataFrame) -> DataFrame:
+    """(i, half, part, split, id, size, leader) for each representative whose first half key i others have too.
 
-    ``split`` tells that the bucket has several parts, each with a leader: the
-    document that meets the most others over all its buckets, which in a family
-    of copies is one near the common origin.
+    ``split`` tells that the group has several parts, each with a leader: the
+    document with the most others over all its groups, which in a family of
+    copies is one near the common origin.
     """
     halves = members.where(F.col("first").isNotNull()).select(
-        "id", F.col("n_shingles").alias("size"), "second", F.posexplode("first").alias("i", "half")
+        "id", F.col("n_shingles").alias("size"), F.posexplode("first").alias("i", "half")
     )
     shared = written(halves.groupBy("i", "half").agg(F.count("*").alias("n")).where("n > 1"), "near-halves")
-    laid_out = salted_join(halves, shared, ["i", "half"], "n", "id", keep_parts=True).select(
-        "_key", "i", "half", "_part", "_parts", "id", "size", F.posexplode("second").alias("j", "other")
-    )
-    same = Window.partitionBy("_key", "i", "half", "_part", "j", "other")
-    split = F.col("_parts") > 1
-    met = written(
-        laid_out.withColumn("n_same", F.count("*").over(same))
-        .where(split | (F.col("n_same") > 1))
-        .select(
-            F.xxhash64("i", "half", "j", "other").alias("bucket"),
-            F.col("_part").alias("part"),
-            "id",
-            "size",
-            "n_same",
-            split.alias("split"),
-        ),
-        "near-met",
+    met = salted_join(halves, shared, ["i", "half"], "n", "id", keep_parts=True).select(
+        "i", "half", F.col("_part").alias("part"), (F.col("_parts") > 1).alias("split"), "id", "size", "n"
     )
-    degrees = met.groupBy("id").agg(F.sum("n_same").alias("degree"))
+    met = written(met, "near-met")
+    degrees = met.groupBy("id").agg(F.sum("n").alias("degree"))
     rank = F.struct("degree", (-F.col("id")).alias("first"))
-    leader = F.max_by("id", rank).over(Window.partitionBy("bucket", "part"))
-    led = met.join(degrees, "id").withColumn("leader", leader)
-    return written(led.select("bucket", "part", "id", "size", "leader", "split"), "near-buckets")
-
-
-def _to_leaders(buckets: DataFrame) -> DataFrame:
-    """Pairs (a, b): the leader and a member of its bucket or part; and the leaders of parts."""
-    # As many rows of a bucket as it has parts.
-    leaders = buckets.where("split").select("bucket", "leader").distinct()
-    top = F.min("leader").over(Window.partitionBy("bucket"))
+    leader = F.max_by("id", rank).over(Window.partitionBy("i", "half", "part"))
+    led = met.drop("n").join(degrees, "id").withColumn("leader", leader).drop("degree")
+    led = written(led, "near-groups")
+    forget(met, shared)
+    return led
+
+
+def _to_leaders(groups: DataFrame) -> DataFrame:
+    """Pairs (a, b): the leader and a member of its group or part; and the leaders of parts."""
+    # As many rows of a group as it has parts.
+    leaders = groups.where("split").select("i", "half", "leader").distinct()
+    top = F.min("leader").over(Window.partitionBy("i", "half"))
     between = leaders.select(top.alias("a"), F.col("leader").alias("b"))
-    pairs = buckets.select(F.col("leader").alias("a"), F.col("id").alias("b")).unionByName(between)
+    pairs = groups.select(F.col("leader").alias("a"), F.col("id").alias("b")).unionByName(between)
     return pairs.where("a <> b").distinct()
 
 
-def _across(buckets: DataFrame, joined: DataFrame, compared: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a bucket in different components that may be linked.
-
-    Sizes rule a pair out, and so do the distances of both from their leader:
-    Jaccard distance is a metric.
-    """
-    to_leader = compared.select(F.col("a").alias("leader"), F.col("b").alias("id"), "distance")
-    placed = (
-        buckets.join(joined, "id", "left")
-        .join(to_leader, ["leader", "id"], "left")
-        .select(
-            "bucket",
-            "leader",
-            "id",
-            "size",
-            F.coalesce("component", "id").alias("component"),
-            F.when(F.col("leader") == F.col("id"), 0.0).otherwise(F.col("distance")).alias("distance"),
-        )
-    )
-    placed = written(placed, "near-placed")
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = placed.join(mixed.where("low <> high").select("bucket"), "bucket", "left_semi")
-    open_ = written(open_, "near-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    most = 1 - SIMILARITY / 100 + 1e-9
-    apart = (F.col("x.leader") == F.col("y.leader")) & (
-        F.abs(F.col("x.distance") - F.col("y.distance")) > most
-    )
-    fits = (
-        (F.least("x.size", "y.size") * 100 >= F.greatest("x.size", "y.size") * SIMILARITY)
-        & (F.col("x.component") < F.col("y.component"))
-        # A pair with its own leader has been compared.
-        & (F.col("x.leader") != F.col("y.id"))
-        & (F.col("y.leader") != F.col("x.id"))
-        & ~F.coalesce(apart, F.lit(False))
-    )
-    pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & fits)
-    return pairs.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+def _linked(common: np.ndarray | int, total: np.ndarray | int) -> np.ndarray | bool:
+    """Whether ``common`` elements are enough for two sets of ``total`` elements together."""
+    return 100 * common >= SIMILARITY * (total - common)
 
 
-def compare(a: np.ndarray, b: np.ndarray) -> tuple[bool, float]:
-    """Whether two sorted sets without repeats are similar enough, and their Jaccard distance."""
-    union = len(np.union1d(a, b))
-    common = len(a) + len(b) - union
-    return 100 * common >= SIMILARITY * union, 1 - common / union
-
-
-def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, linked, distance) of each pair by the full sets.  ``texts`` is a table (id, text)."""
+def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that meet in a table and are linked.  ``docs`` is a table (id, second, text)."""
     pairs = written(pairs, "near-pairs")
     counted = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    of_a = counted.join(texts, counted["a"] == texts["id"]).select("a", "n", F.col("text").alias("text_a"))
+    of_a = counted.join(docs, counted["a"] == docs["id"]).select(
+        "a", "n", F.col("second").alias("second_a"), F.col("text").alias("text_a")
+    )
     of_a = written(of_a, "near-texts-a")
-    with_b = pairs.join(texts, pairs["b"] == texts["id"]).select("a", "b", F.col("text").alias("text_b"))
+    with_b = pairs.join(docs, pairs["b"] == docs["id"]).select(
+        "a", "b", F.col("second").alias("second_b"), F.col("text").alias("text_b")
+    )
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, known, hashes = None, None, WordHashes()
         for batch in batches:
-            found = []
             if len(hashes) > 300_000:
                 hashes = WordHashes()
-            for a, text_a, text_b in zip(*(batch.column(i) for i in (0, 2, 3)), strict=True):
-                if a != last:
-                    last, known = a, shingle_sets([text_a.as_py()], hashes)[0]
-                found.append(compare(known, shingle_sets([text_b.as_py()], hashes)[0]))
-            linked = pa.array([yes for yes, _ in found], pa.bool_())
-            distance = pa.array([d for _, d in found], pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], linked, distance], ["a", "b", "linked", "distance"]
-            )
+            meet = (_matrix(batch.column("second_a")) == _matrix(batch.column("second_b"))).any(axis=1)
+            linked = np.zeros(batch.num_rows, bool)
+            a_ids, a_texts, b_texts = (batch.column(name) for name in ("a", "text_a", "text_b"))
+            for row in np.flatnonzero(meet).tolist():
+                if a_ids[row] != last:
+                    last, known = a_ids[row], shingle_sets([a_texts[row].as_py()], hashes)[0]
+                other = shingle_sets([b_texts[row].as_py()], hashes)[0]
+                common = len(np.intersect1d(known, other, assume_unique=True))
+                linked[row] = _linked(common, len(known) + len(other))
+            yield batch.select(["a", "b"]).filter(pa.array(linked))
 
     id_type = pairs.schema["a"].dataType.simpleString()
-    both = salted_join(with_b, of_a, ["a"], "n", "b").select("a", "b", "text_a", "text_b")
-    schema = f"a {id_type}, b {id_type}, linked boolean, distance double"
-    return written(both.mapInArrow(verified, schema), "near-compared")
+    both = salted_join(with_b, of_a, ["a"], "n", "b")
+    both = both.select("a", "b", "second_a", "second_b", "text_a", "text_b")
+    links = written(both.mapInArrow(verified, f"a {id_type}, b {id_type}"), "near-links")
+    forget(pairs, of_a)
+    return links
+
+
+def _matrix(lists: pa.Array) -> np.ndarray:
+    """Lists of HALVES numbers as rows."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), HALVES)
+
+
+def _sets(docs: DataFrame) -> DataFrame:
+    """(id, first, second, elements) of documents (id, first, second, text): the sorted set as bytes."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for some in chunks(texts):
+                raw = [s.tobytes() for s in shingle_sets(texts[some])]
+                rows = batch.slice(some.start, some.stop - some.start)
+                columns = [rows.column(name) for name in ("id", "first", "second")]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(raw, pa.binary())], ["id", "first", "second", "elements"])
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, first array<bigint>, second array<int>, elements binary"
+    return written(docs.select("id", "first", "second", "text").mapInArrow(cut, schema), "near-sets")
+
+
+def _block_pairs(groups: DataFrame, joined: DataFrame) -> DataFrame:
+    """(i, half, p, q, block, id, component) of groups whose members are in different components.
+
+    Blocks 0 to n_main - 1 hold the largest component, the others all other members.
+    Two blocks of the former are never paired.
+    """
+    placed = groups.join(joined, "id", "left").select(
+        "i", "half", "id", "size", F.coalesce("component", "id").alias("component")
+    )
+    placed = written(placed, "near-placed")
+    counted = placed.groupBy("i", "half", "component").agg(F.count("*").alias("c"), F.sum("size").alias("s"))
+    largest = F.struct("c", (-F.col("component")).alias("first"))
+    mixed = counted.groupBy("i", "half").agg(
+        F.sum("c").alias("n"),
+        F.sum("s").alias("shingles"),
+        F.max_by("component", largest).alias("main"),
+        F.max(largest)["c"].alias("in_main"),
+        F.max_by("s", largest).alias("main_shingles"),
+    )
+
+    def blocks(docs: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(docs / BLOCK_DOCS), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+    mixed = mixed.where("n > in_main").select(
+        "i",
+        "half",
+        "n",
+        "main",
+        blocks(F.col("in_main"), F.col("main_shingles")).alias("n_main"),
+        blocks(F.col("n") - F.col("in_main"), F.col("shingles") - F.col("main_shingles")).alias("n_rest"),
+    )
+    mixed = written(mixed, "near-mixed")
+    open_ = salted_join(placed, mixed, ["i", "half"], "n", "id")
+    hashed = F.xxhash64("id")
+    in_main = F.col("component") == F.col("main")
+    block = F.when(in_main, F.pmod(hashed, F.col("n_main"))).otherwise(
+        F.col("n_main") + F.pmod(hashed, F.col("n_rest"))
+    ).cast("int")
+    first_rest, last_rest = F.col("n_main"), F.col("n_main") + F.col("n_rest") - 1
+    others = F.when(in_main, F.sequence(first_rest, last_rest)).otherwise(F.sequence(F.lit(0), last_rest))
+    paired = open_.withColumn("block", block).withColumn("other", F.explode(others))
+    return paired.select(
+        "i", "half", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
+        "block", "id", "component",
+    )
+
+
+def block_links(
+    i: int, left: np.ndarray, right: np.ndarray, components: np.ndarray, first: np.ndarray, second: np.ndarray,
+    sets: list[np.ndarray],
+) -> Iterator[tuple[int, int]]:
+    """Links between the documents at ``left`` and ``right``, as many as it takes to join components.
+
+    Looked at are pairs that meet in a table (i, j) but not in a first half before i.
+    With ``left`` and ``right`` the same, each pair is looked at once.
+    """
+    wanted = components[left][:, None] != components[right][None, :]
+    if left is right:
+        wanted = np.triu(wanted)
+    sizes = np.array([len(s) for s in sets], np.int64)
+    small = np.minimum(sizes[left][:, None], sizes[right][None, :])
+    large = np.maximum(sizes[left][:, None], sizes[right][None, :])
+    wanted &= 100 * small >= SIMILARITY * large
+    for k in range(i):
+        wanted &= first[left, k][:, None] != first[right, k][None, :]
+    meet = np.zeros_like(wanted)
+    for k in range(HALVES):
+        meet |= second[left, k][:, None] == second[right, k][None, :]
+    wanted &= meet
+    columns = np.flatnonzero(wanted.any(axis=0))
+    if not len(columns):
+        return
+    held = [sets[d] for d in right[columns].tolist()]
+    elements = np.concatenate(held)
+    order = np.argsort(elements, kind="stable")
+    elements, owner = elements[order], np.repeat(np.arange(len(held)), [len(s) for s in held])[order]
+    root: dict[object, object] = {}
+
+    def find(x):
+        while x in root:
+            x = root[x]
+        return x
+
+    for a in np.flatnonzero(wanted.any(axis=1)).tolist():
+        mine = sets[left[a]]
+        low = np.searchsorted(elements, mine, "left")
+        n = np.searchsorted(elements, mine, "right") - low
+        places = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(owner[places], minlength=len(held))
+        linked = wanted[a, columns] & _linked(common, len(mine) + sizes[right[columns]])
+        for b in right[columns[linked]].tolist():
+            x, y = find(components[left[a]].item()), find(components[b].item())
+            if x != y:
+                root[x] = y
+                yield int(left[a]), b
+
+
+def _across(groups: DataFrame, joined: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between members of a group that are in different components."""
+    rows = written(_block_pairs(groups, joined), "near-open")
+    ids = rows.select("id").distinct()
+    sets = _sets(docs.join(ids, "id", "left_semi"))
+    id_type = docs.schema["id"].dataType.simpleString()
+
+    def links(table: pa.Table) -> pa.Table:
+        get = {name: table.column(name).combine_chunks() for name in table.column_names}
+        block = get["block"].to_numpy(zero_copy_only=False)
+        p, q = get["p"][0].as_py(), get["q"][0].as_py()
+        left = np.flatnonzero(block == p)
+        right = left if p == q else np.flatnonzero(block == q)
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in get["elements"]]
+        component = get["component"].to_numpy(zero_copy_only=False)
+        first, second = _matrix(get["first"]), _matrix(get["second"])
+        found = list(block_links(get["i"][0].as_py(), left, right, component, first, second, sets))
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({name: get["id"].take(pa.array(x, pa.int64())) for name, x in (("a", a), ("b", b))})
+
+    met = rows.join(sets, "id").groupBy("i", "half", "p", "q")
+    return written(met.applyInArrow(links, f"a {id_type}, b {id_type}"), "near-links")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
-    members, classes = _classes(written(signatures(docs, id_column, text_column), "near-signatures"))
-    buckets = _buckets(members)
-    ids = buckets.select("id").distinct()
+    signed = written(signatures(docs, id_column, text_column), "near-signatures")
+    members, classes = _classes(signed)
+    forget(signed)
+    groups = _groups(members)
+    ids = groups.select("id").distinct()
+    leads = members.where(F.col("first").isNotNull()).join(ids, "id", "left_semi").select("id", "first", "second")
     texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    texts = written(texts.join(ids, "id", "left_semi"), "near-texts")
+    # Rows that repeat an id are one document; the join has dealt them out by id already.
+    texts = leads.dropDuplicates(["id"]).join(texts, "id").dropDuplicates(["id"])
+    texts = written(texts, "near-texts")
 
-    first = _compared(_to_leaders(buckets), texts)
-    links = first.where("linked").select("a", "b")
-    across = _across(buckets, components(links), first)
-    more = _compared(across, texts).where("linked").select("a", "b")
+    links = _compared(_to_leaders(groups), texts)
+    more = _across(groups, components(links), texts)
     joined = components(links.unionByName(more)).withColumnRenamed("id", "rep")
+    forget(groups, texts)
 
     sized = joined.join(classes, "rep", "left").select("rep", "component", F.coalesce("n", F.lit(1)).alias("n"))
     sized = written(sized, "near-components")
