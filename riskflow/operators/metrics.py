@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """One row with tp, fp, fn, tn, from one scan."""
+    """One row with tp, fp, fn, tn, from one scan; a row without label or prediction is an error."""
     actual, predicted = F.col(label) == 1, F.col(prediction).cast("double") != 0
     cells = {
         "tp": actual & predicted,
@@ -16,7 +16,13 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
         "fn": actual & ~predicted,
         "tn": ~actual & ~predicted,
     }
-    return df.agg(*[F.count(F.when(cell, F.lit(1))).alias(name) for name, cell in cells.items()])
+    gaps = F.count_if(actual.isNull() | predicted.isNull())
+    error = F.raise_error(F.concat(gaps.cast("string"), F.lit(f" rows without {label} or {prediction}")))
+
+    def counted(cell: Column) -> Column:
+        return F.when(gaps > 0, error.cast("bigint")).otherwise(F.count_if(cell))
+
+    return df.agg(*[counted(cell).alias(name) for name, cell in cells.items()])
 
 
 def hard_areas(cells: DataFrame) -> DataFrame:

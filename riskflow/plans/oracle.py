@@ -202,7 +202,11 @@ SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE bmi IS NULL) AS n_null_bmi,
        MIN(avg_glucose_level) AS min_glucose, MAX(bmi) AS max_bmi
 FROM intake"""
     ),
-    "export_round_trip": _on_intake(f"SELECT {_RECORD} FROM intake WHERE bmi IS NOT NULL"),
+    "csv_rejected": _on_intake(
+        "SELECT CASE WHEN id % 89 = 0 THEN 'age:type' WHEN id % 83 = 0 THEN 'bmi:type' ELSE 'ok' END AS reason, "
+        "COUNT(*) AS n FROM intake GROUP BY 1"
+    ),
+    "export_round_trip": _on_intake(f"SELECT {_RECORD} FROM intake"),
     "audit_metrics": _on_intake(
         "SELECT COUNT(*) AS n, MIN(id) AS min_id, MAX(id) AS max_id, "
         "COUNT(*) FILTER (WHERE stroke = 1) AS n_positive FROM intake"
@@ -345,10 +349,10 @@ rates AS (
     "arbitrate": _with([_INTAKE, _SCORES], _VERDICT),
     "arbitrate_joined": _with([_INTAKE, _SCORES], _VERDICT),
     "export_json": _on_intake(
-        f"SELECT {_RECORD}, '{','.join(INTAKE_COLUMNS)}' AS fields "
-        "FROM intake WHERE bmi IS NOT NULL"
+        f"SELECT {_RECORD}, CASE WHEN bmi IS NULL THEN '{','.join(n for n in INTAKE_COLUMNS if n != 'bmi')}' "
+        f"ELSE '{','.join(INTAKE_COLUMNS)}' END AS fields FROM intake"
     ),
-    "json_path": _on_intake("SELECT id, work_type FROM intake WHERE bmi IS NOT NULL"),
+    "json_path": _on_intake("SELECT id, work_type FROM intake"),
     "events_json_path": (
         "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events"
     ),

@@ -67,10 +67,24 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines per outcome, of a CSV with words in the place of some numbers."""
+    path = f"{run_dir(spark, 'csv')}/table"
+    rows = views.intake(spark, sf_dir).select(*[F.col(name).cast("string") for name in TRAINING.fieldNames()])
+    number = F.col("id").cast("bigint")
+    bad = rows.withColumns(
+        {
+            "age": F.when(number % 89 == 0, "old").otherwise(F.col("age")),
+            "bmi": F.when(number % 83 == 0, "high").otherwise(F.col("bmi")),
+        }
+    )
+    writers.save_training_csv(bad, path)
+    return validate.count_reasons(readers.judge_training_csv(spark, path))
+
+
 def export_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{run_dir(spark, 'export')}/lines"
-    complete = _complete(spark, sf_dir)
-    writers.export_json_gz(complete, path, buckets=64)
+    writers.export_json_gz(views.records(spark, sf_dir), path, buckets=64)
     parsed = spark.read.text(path).select(parse_record(F.col("value")).alias("r"))
     return parsed.select("r.*")
 
@@ -306,13 +320,13 @@ def arbitrate_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record to JSON bytes and back; ``fields`` shows the order they were written in."""
     text = utf8_text(utf8_bytes(record_json()))
-    lines = _complete(spark, sf_dir).select(text.alias("json"))
+    lines = views.records(spark, sf_dir).select(text.alias("json"))
     fields = F.array_join(F.json_object_keys("json"), ",").alias("fields")
     return lines.select(parse_record(F.col("json")).alias("r"), fields).select("r.*", "fields")
 
 
 def record_json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _complete(spark, sf_dir).select(record_json().alias("json"))
+    lines = views.records(spark, sf_dir).select(record_json().alias("json"))
     return lines.select(
         json_path(F.col("json"), "$.id").cast("bigint").alias("id"),
         json_path(F.col("json"), "$.work_type").alias("work_type"),
@@ -473,6 +487,7 @@ def intake_to_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "scan_intake": scan_intake,
     "csv_round_trip": csv_round_trip,
+    "csv_rejected": csv_rejected,
     "export_round_trip": export_round_trip,
     "audit_metrics": audit_metrics,
     "drop_incomplete": drop_incomplete,

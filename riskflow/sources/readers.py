@@ -15,6 +15,7 @@ from pyspark.sql.types import StructField, StructType
 from riskflow.functions.sqltext import quoted
 from riskflow.schema import CSV_NULL, INTAKE, TRAINING
 
+_CORRUPT = "__corrupt"
 _MODEL_CLASSES = {
     "forest": RandomForestClassificationModel,
     "gbt": GBTClassificationModel,
@@ -47,6 +48,40 @@ def read_training_csv(
     return text.select(*[typed(field) for field in schema])
 
 
+def judge_training_csv(spark: SparkSession, path: str, schema: StructType = TRAINING) -> DataFrame:
+    """All lines of a CSV as text, by column, with ``reason`` and ``line``; none is lost and none fails.
+
+    A line with too few or too many fields is ``line:malformed``, a value that does not
+    fit its type ``column:type``, the first of several.  ``line`` is the line as it was read, or what was
+    read of it as JSON.  :func:`accepted_training` and :func:`rejected_training` part the
+    frame, which a caller that uses both should write first.
+    """
+    reader = spark.read.option("header", True).option("nullValue", CSV_NULL)
+    names = reader.csv(path).columns
+    if missing := [name for name in schema.names if name not in names]:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    fields = ", ".join(f"{quoted(name)} STRING" for name in [*names, _CORRUPT])
+    # With pruned columns the parser would not see that fields are missing.
+    reader = reader.option("columnNameOfCorruptRecord", _CORRUPT).option("columnPruning", False)
+    text = reader.schema(fields).csv(path)
+    reason = F.when(F.col(_CORRUPT).isNotNull(), F.lit("line:malformed"))
+    for field in schema:
+        name = quoted(field.name)
+        wrong = F.expr(f"{name} IS NOT NULL AND try_cast({name} AS {field.dataType.simpleString()}) IS NULL")
+        reason = reason.when(wrong, F.lit(f"{field.name}:type"))
+    line = F.coalesce(_CORRUPT, F.to_json(F.struct(*[quoted(name) for name in names])))
+    return text.select(*[quoted(name) for name in schema.names], reason.alias("reason"), line.alias("line"))
+
+
+def accepted_training(judged: DataFrame, schema: StructType = TRAINING) -> DataFrame:
+    typed = [f"try_cast({quoted(f.name)} AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in schema]
+    return judged.where("reason IS NULL").selectExpr(*typed)
+
+
+def rejected_training(judged: DataFrame) -> DataFrame:
+    return judged.where("reason IS NOT NULL").select("line", "reason")
+
+
 def scan_records(spark: SparkSession, path: str, schema: StructType = INTAKE) -> DataFrame:
     """Stored records; the schema is given, so no file is opened to plan the scan."""
     return spark.read.schema(schema).parquet(path)

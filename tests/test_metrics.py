@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.errors import PySparkException
 
 from riskflow.operators.metrics import confusion, evaluate_hard, evaluate_raw
 
@@ -32,3 +33,14 @@ def test_closed_forms_equal_the_evaluator(spark, cells):
 def test_boolean_predictions(spark):
     df = frame(spark, 3, 2, 1, 7).selectExpr("label", "prediction = 1 as prediction")
     assert tuple(confusion(df).first()) == (3, 2, 1, 7)
+
+
+@pytest.mark.parametrize("row", [(None, 1.0), (1.0, None)])
+def test_gaps_are_an_error(spark, row):
+    df = spark.createDataFrame([(1.0, 1.0), row], "label double, prediction double")
+    with pytest.raises(PySparkException, match="1 rows without label or prediction"):
+        confusion(df).collect()
+
+
+def test_no_rows(spark):
+    assert tuple(confusion(frame(spark, 0, 0, 0, 0)).first()) == (0, 0, 0, 0)

@@ -25,7 +25,14 @@ from riskflow.operators.review import (
     sample_one,
 )
 from riskflow.schema import INTAKE_COLUMNS, TRAINING
-from riskflow.sources.readers import read_training_csv, scan_records
+from riskflow.plans import views
+from riskflow.sources.readers import (
+    accepted_training,
+    judge_training_csv,
+    read_training_csv,
+    rejected_training,
+    scan_records,
+)
 from riskflow.sources.writers import export_folder, export_json_gz, save_records
 
 
@@ -150,3 +157,32 @@ def test_training_csv(spark, tmp_path):
     inferred = read_training_csv(spark, str(path), schema=None)
     assert dict(inferred.dtypes)["bmi"] == "double"
     assert df.na.drop().count() == inferred.na.drop().count() == 1
+
+
+def test_malformed_csv_rows_are_set_apart(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    names = "stroke,id,gender,age,hypertension,heart_disease,ever_married,work_type,Residence_type,avg_glucose_level,bmi,smoking_status,note"
+    good = "1,7,Male,67,0,1,Yes,Private,Urban,228.69,N/A,smokes,x"
+    bad = [
+        good.replace("67", "old"),
+        good.replace("228.69", "much").replace("N/A", "-"),
+        "1,8,Male",
+        good + ",more",
+    ]
+    path.write_text("\n".join([names, good, *bad]) + "\n")
+    judged = judge_training_csv(spark, str(path))
+    (accepted,) = accepted_training(judged).collect()
+    assert (accepted.id, accepted.age, accepted.bmi, accepted.stroke) == (7, 67.0, None, 1.0)
+    assert accepted_training(judged).schema == TRAINING
+    rejected = {r.line: r.reason for r in rejected_training(judged).collect()}
+    assert sorted(rejected.values()) == ["age:type", "avg_glucose_level:type", "line:malformed", "line:malformed"]
+    assert rejected[bad[2]] == rejected[bad[3]] == "line:malformed"
+
+
+def test_review_page_reads_the_key_once(spark, sf_dir):
+    records = views.records(spark, sf_dir)
+    page = review_page(records, 42)
+    page.collect()
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    # One aggregate over the key, used twice, and the fetch of the record.
+    assert plan.count("min_by(") > 0 and "ReusedSubquery" in plan
