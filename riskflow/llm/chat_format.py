@@ -15,10 +15,12 @@ conversation's digest back is sequential by nature: its turns are sorted on disk
 and hashed as a stream, so memory does not grow with a conversation.
 
 Defined cases: null or absent role and text count as empty; a role without a
-mark of its own is written out; a record that is null, is not a JSON object or
-matches no layout gives one row without text and with ``layout`` null; turns with
-the same number are ordered by their formatted text; repeated rows are repeated
-turns; a null conversation id is a conversation of its own.
+mark of its own is written out; a record that is null, is not a JSON object, is nested
+too deeply to be read, has a turn that is no object or matches no layout gives one row
+without text and with ``layout`` null, and a conversation of such records is read back
+with no turns; half a surrogate pair becomes U+FFFD; turns with the same number are
+ordered by their formatted text; repeated rows are repeated turns; a null conversation
+id is a conversation of its own.
 """
 
 from __future__ import annotations
@@ -42,6 +44,7 @@ CLOSE = "</s>"
 CONTROL = r"</?s>|\[/?(?:SYS|INST|ANS|ROLE)\]"
 
 _ESCAPED = re.compile(rf"\\|{CONTROL}")
+_HALF_PAIR = re.compile("[\ud800-\udfff]")
 _BACKSLASH = re.compile(r"\\(.)", re.DOTALL)
 _PART = re.compile(r"(?:\[(SYS|INST|ANS)\]|\[ROLE\](.*?)\[/ROLE\])(.*?)</s>\Z", re.DOTALL)
 _ROLE_OF = {mark.strip("[]"): role for role, mark in OPEN.items()}
@@ -53,7 +56,8 @@ class Layout:
 
     With ``items`` the record has a list of turns, each with the fields ``role``
     and ``text``; without, each of ``turns`` names a role and the fields whose
-    texts, joined by an empty line, are its turn.  ``optional`` fields may lack.
+    texts, joined by an empty line, are its turn; beside ``items``, these turns come
+    first.  ``optional`` fields may lack.
     """
 
     name: str
@@ -65,28 +69,40 @@ class Layout:
     roles: Mapping[str, str] = field(default_factory=dict)
 
     def paths(self) -> set[str]:
-        if self.role is not None:
-            prefix = f"{self.items}[]." if self.items else ""
-            return {prefix + self.role, prefix + self.text}
-        return {name for _, names in self.turns for name in names}
+        named = {name for _, names in self.turns for name in names}
+        if self.role is None:
+            return named
+        prefix = f"{self.items}[]." if self.items else ""
+        return named | {prefix + self.role, prefix + self.text}
 
 
+_SYSTEM = ("system", ("system",))
 LAYOUTS = (
     Layout("turn", role="role", text="text", optional=("role", "text")),
-    Layout("messages", "messages", "role", "content", optional=("messages[].content",)),
+    Layout("messages", "messages", "role", "content", (_SYSTEM,), ("messages[].content", "system")),
     Layout(
         "conversations",
         "conversations",
         "from",
         "value",
-        roles={"human": "user", "gpt": "assistant"},
+        (_SYSTEM,),
+        ("conversations[].value", "system"),
+        {"human": "user", "gpt": "assistant"},
+    ),
+    Layout(
+        "prompt_completion",
+        turns=(_SYSTEM, ("user", ("prompt",)), ("assistant", ("completion",))),
+        optional=("system",),
+    ),
+    Layout(
+        "prompt_response",
+        turns=(_SYSTEM, ("user", ("prompt",)), ("assistant", ("response",))),
+        optional=("system", "response"),
     ),
-    Layout("prompt_response", turns=(("user", ("prompt",)), ("assistant", ("response",)))),
-    Layout("prompt_completion", turns=(("user", ("prompt",)), ("assistant", ("completion",)))),
     Layout(
         "instruction",
         turns=(
-            ("system", ("system",)),
+            _SYSTEM,
             ("user", ("instruction", "input")),
             ("assistant", ("output",)),
         ),
@@ -129,24 +145,27 @@ def fingerprint(record: object) -> str:
     return _hash(field_paths(record) & KNOWN_PATHS)
 
 
-def canonical_turns(record: dict, layout: Layout) -> list[tuple[str, str]]:
-    """Role and text of each turn."""
+def canonical_turns(record: dict, layout: Layout) -> list[tuple[str, str]] | None:
+    """Role and text of each turn; None if one of the turns is no object."""
 
     def as_text(value: object) -> str:
         if value is None:
             return ""
-        return value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+        text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+        return _HALF_PAIR.sub("\ufffd", text)
 
-    if layout.role is not None:
-        items = record[layout.items] if layout.items else [record]
-        pairs = [(as_text(i.get(layout.role)), as_text(i.get(layout.text))) for i in items]
-        return [(layout.roles.get(role, role), text) for role, text in pairs]
     turns = []
     for role, names in layout.turns:
         texts = [as_text(record[name]) for name in names if record.get(name) is not None]
         if texts:
             turns.append((role, "\n\n".join(t for t in texts if t)))
-    return turns
+    if layout.role is None:
+        return turns
+    items = record[layout.items] if layout.items else [record]
+    if not all(isinstance(item, dict) for item in items):
+        return None
+    pairs = [(as_text(i.get(layout.role)), as_text(i.get(layout.text))) for i in items]
+    return turns + [(layout.roles.get(role, role), text) for role, text in pairs]
 
 
 def escape(text: str) -> str:
@@ -191,12 +210,11 @@ def format_chats(
     def turns_of(text: str | None) -> tuple[str | None, list[tuple[str, str]]]:
         try:
             record = json.loads(text) if text is not None else None
-        except ValueError:
-            return None, []
-        layout = BY_FINGERPRINT.get(fingerprint(record)) if isinstance(record, dict) else None
-        if layout is None:
+            layout = BY_FINGERPRINT.get(fingerprint(record)) if isinstance(record, dict) else None
+            turns = canonical_turns(record, layout) if layout is not None else None
+        except (ValueError, RecursionError):
             return None, []
-        return layout.name, canonical_turns(record, layout)
+        return (None, []) if turns is None else (layout.name, turns)
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,7 +254,9 @@ class _Conversation:
         self.turns = self.loss = self.chars = 0
         self.said, self.learned = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, part: str, start: int, end: int) -> None:
+    def add(self, part: str | None, start: int, end: int) -> None:
+        if part is None:
+            return  # of a record without a turn
         role, text = read_turn(part)
         self.turns += 1
         self.chars += len(part)
@@ -251,7 +271,7 @@ class _Conversation:
 
 
 def read_back(formatted: DataFrame, id_column: str = "conv_id", order_column: str = "turn") -> DataFrame:
-    """Per conversation: its id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
+    """Per conversation, those without turns too: id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
     id_type = formatted.schema[id_column].dataType.simpleString()
     names = [id_column, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
@@ -278,8 +298,7 @@ def read_back(formatted: DataFrame, id_column: str = "conv_id", order_column: st
             yield rows([current])
 
     return (
-        formatted.where(F.col("part").isNotNull())
-        .repartition(id_column)
+        formatted.repartition(id_column)
         .sortWithinPartitions(id_column, order_column, "position", "part")
         .select(id_column, "part", "loss_start", "loss_end")
         .mapInArrow(

@@ -41,7 +41,68 @@ def test_layouts(spark):
     assert {r["conv_id"] for r in formatted.where("layout IS NULL").collect()} == {7, 8, 9, 10}
     digest = hashlib.sha256(b"user\nq\nassistant\na\n").hexdigest()
     found = chat_format.read_back(formatted).collect()
-    assert {r["conv_id"]: r["turns_sha256"] for r in found} == dict.fromkeys(range(5), digest)
+    assert {r["conv_id"]: r["turns_sha256"] for r in found if r["n_turns"]} == dict.fromkeys(range(5), digest)
+    # No conversation is lost.
+    assert sorted(r["conv_id"] for r in found if not r["n_turns"]) == [7, 8, 9, 10]
+
+
+TURNS = [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]
+
+
+def turns_in(spark, *records):
+    """Layout and turns, by record."""
+    frame = spark.createDataFrame([(i, 0, r) for i, r in enumerate(records)], "conv_id int, turn int, record string")
+    rows = chat_format.format_chats(frame).orderBy("conv_id", "position").collect()
+    found = [(None, [])] * len(records)
+    for i in range(len(records)):
+        mine = [r for r in rows if r["conv_id"] == i]
+        found[i] = mine[0]["layout"], [chat_format.read_turn(r["part"]) for r in mine if r["part"] is not None]
+    return found
+
+
+def test_layouts_with_a_system_text_or_without_an_answer(spark):
+    records = [
+        {"system": "s", "messages": TURNS},
+        {"system": "s", "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": None}]},
+        {"system": "s", "prompt": "q", "response": "a"},
+        {"system": "s", "prompt": "q", "completion": "a"},
+        {"prompt": "q", "response": None},
+        {"messages": [{"role": "user", "content": None}, {"role": "assistant"}]},
+    ]
+    asked, answer, system = ("user", "q"), ("assistant", "a"), ("system", "s")
+    assert turns_in(spark, *map(json.dumps, records)) == [
+        ("messages", [system, asked, answer]),
+        ("conversations", [system, asked, ("assistant", "")]),
+        ("prompt_response", [system, asked, answer]),
+        ("prompt_completion", [system, asked, answer]),
+        ("prompt_response", [asked]),
+        ("messages", [("user", ""), ("assistant", "")]),
+    ]
+
+
+def test_malformed_records_do_not_end_the_job(spark):
+    long = "x " * 200_000
+    records = [
+        json.dumps({"messages": [*TURNS, None]}),
+        json.dumps({"messages": [*TURNS, "text"]}),
+        '{"prompt": "\\ud800 q", "response": "\\ud83d\\ude42"}',
+        '{"prompt": ' + "[" * 100_000 + "]" * 100_000 + ', "response": "a"}',
+        json.dumps({"prompt": long, "response": "a"}),
+        json.dumps({"messages": []}),
+        "",
+    ]
+    found = turns_in(spark, *records)
+    assert [found[i] for i in (0, 1, 3, 5, 6)] == [(None, [])] * 5
+    assert found[2] == ("prompt_response", [("user", "\ufffd q"), ("assistant", "\U0001f642")])
+    assert found[4][1][0] == ("user", long)
+
+
+def test_ties_repeated_rows_and_clashing_names(spark):
+    rows = [(1, 0, "user", "b", "x"), (1, 0, "user", "a", "y"), (1, 1, "assistant", "c", "z"), (1, 1, "assistant", "c", "z")]
+    frame = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string, record string")
+    found = chat_format.formatted_digests(frame.withColumn("position", frame["turn"])).collect()
+    said = b"user\na\nuser\nb\nassistant\nc\nassistant\nc\n"
+    assert [(r["n_turns"], r["turns_sha256"]) for r in found] == [(4, hashlib.sha256(said).hexdigest())]
 
 
 def test_instruction_with_input():
