@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Sequence
 from heapq import nsmallest
 
@@ -99,6 +101,14 @@ def salted_join(
     return joined if keep_parts else joined.drop("_key", "_part")
 
 
+def give_back() -> None:
+    """Return what a Python worker has freed to the system: workers are kept, and idle ones count too."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 class WordIds(dict):
     """Numbers words from 0 in the order in which they are first asked for."""
 

@@ -45,7 +45,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import forget, salted_join, semi_join_ids, written
+from riskflow.llm.common import forget, give_back, salted_join, semi_join_ids, written
 from riskflow.llm.components import components
 
 SHINGLE = 5
@@ -131,6 +131,7 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """One row per document: id, n_shingles, digest of the set, first and second half keys."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # of earlier stages
         for batch in batches:
             for some, texts in _text_chunks(batch.column(1)):
                 sets = shingle_sets(texts)
@@ -149,6 +150,8 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
                     ],
                     ["id", "n_shingles", "digest", "first", "second"],
                 )
+            del batch
+        give_back()
 
     id_type = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(
@@ -239,6 +242,8 @@ def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 common = len(np.intersect1d(known, other, assume_unique=True))
                 linked[row] = _linked(common, len(known) + len(other))
             yield batch.select(["a", "b"]).filter(pa.array(linked))
+        hashes.clear()
+        give_back()
 
     id_type = pairs.schema["a"].dataType.simpleString()
     both = salted_join(with_b, of_a, ["a"], "n", "b")
@@ -262,7 +267,10 @@ def _sets(docs: DataFrame) -> DataFrame:
                 raw = [s.tobytes() for s in shingle_sets(texts)]
                 rows = batch.slice(some.start, some.stop - some.start)
                 columns = [rows.column(name) for name in ("id", "first", "second")]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(raw, pa.binary())], ["id", "first", "second", "elements"])
+                names = ["id", "first", "second", "elements"]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(raw, pa.binary())], names)
+            del batch
+        give_back()
 
     id_type = docs.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, first array<bigint>, second array<int>, elements binary"
