@@ -168,6 +168,72 @@ def _learned_encoder() -> str:
     )
 
 
+def _learned_encoder_slots() -> str:
+    numeric = ["avg_glucose_level", "bmi", "age"]
+    categorical = {
+        "gender": "gender",
+        "hypertension": "CASE WHEN id % 13 <> 0 THEN hypertension END",
+        "heart_disease": "heart_disease",
+        "ever_married": "ever_married",
+        "work_type": "work_type",
+        "Residence_type": "Residence_type",
+        "smoking_status": "CASE WHEN id % 11 <> 0 THEN smoking_status END",
+    }
+    gaps = ", ".join(f"CAST({value} AS VARCHAR) AS {name}" for name, value in categorical.items())
+    with_gaps = f"\nwith_gaps AS (SELECT id, {', '.join(numeric)}, {gaps} FROM intake)"
+    commonest = ", ".join(
+        f"COALESCE({name}, (SELECT {name} FROM with_gaps WHERE {name} IS NOT NULL "
+        f"GROUP BY {name} ORDER BY COUNT(*) DESC, {name} LIMIT 1)) AS {name}"
+        for name in categorical
+    )
+    means = ", ".join(
+        f"COALESCE(CAST({name} AS DOUBLE), (SELECT AVG({name}) FROM with_gaps)) AS {name}" for name in numeric
+    )
+    filled = f"\nfilled AS (SELECT id, {means}, {commonest} FROM with_gaps)"
+    parts, before = [], str(len(numeric))
+    for slot, name in enumerate(numeric):
+        parts.append(f"SELECT id, {slot} AS slot, ROUND({name}, 6) AS value FROM filled WHERE ROUND({name}, 6) <> 0")
+    for name in categorical:
+        last = f"(SELECT MAX(idx) FROM {name}_rank)"
+        parts.append(
+            f"SELECT id, CAST({before} + idx AS INTEGER), CAST(1 AS DOUBLE) FROM filled "
+            f"JOIN {name}_rank ON category = {name} WHERE idx < {last}"
+        )
+        before += f" + {last}"
+    ranks = [_rank_cte(name, "filled") for name in categorical]
+    return _with([_INTAKE, with_gaps, filled, *ranks], "\nUNION ALL\n".join(parts))
+
+
+_LEARNED_ENCODER_WIDE = """
+WITH items AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN l_orderkey % 5 <> 0 THEN CAST(l_orderkey AS VARCHAR) END AS ord,
+         CASE WHEN l_partkey % 7 <> 0 THEN l_returnflag END AS mode,
+         CASE WHEN l_linenumber <> 4 THEN CAST(l_quantity AS DOUBLE) END AS quantity
+  FROM lineitem),
+ord_rank AS (
+  SELECT ord, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, ord) - 1 AS idx
+  FROM items WHERE ord IS NOT NULL GROUP BY ord),
+mode_rank AS (
+  SELECT mode, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, mode) - 1 AS idx
+  FROM items WHERE mode IS NOT NULL GROUP BY mode),
+counts AS (
+  SELECT (SELECT COUNT(*) FROM ord_rank) AS n_ord, (SELECT COUNT(*) FROM mode_rank) AS n_mode,
+         (SELECT AVG(quantity) FROM items) AS mean),
+placed AS (
+  SELECT l_orderkey, l_linenumber, n_ord, n_mode, COALESCE(quantity, mean) AS quantity,
+         COALESCE(o.idx, 0) AS o, COALESCE(m.idx, 0) AS m
+  FROM items CROSS JOIN counts LEFT JOIN ord_rank o ON items.ord = o.ord
+       LEFT JOIN mode_rank m ON items.mode = m.mode)
+SELECT l_orderkey, l_linenumber, CAST(n_ord + n_mode - 1 AS INTEGER) AS width,
+       concat_ws(',', CASE WHEN quantity <> 0 THEN '0' END,
+                 CASE WHEN o < n_ord - 1 THEN CAST(1 + o AS VARCHAR) END,
+                 CASE WHEN m < n_mode - 1 THEN CAST(n_ord + m AS VARCHAR) END) AS slots,
+       ROUND(quantity + CASE WHEN o < n_ord - 1 THEN 1 ELSE 0 END
+             + CASE WHEN m < n_mode - 1 THEN 1 ELSE 0 END, 6) AS total
+FROM placed"""
+
+
 # -------------------------------------------------------------------- texts --
 _WORK_LABEL = (
     "CASE work_type "
@@ -331,6 +397,8 @@ FROM intake"""
         "JOIN l_orderkey_rank ON category = CAST(l_orderkey AS VARCHAR)",
     ),
     "learned_encoder": _learned_encoder(),
+    "learned_encoder_slots": _learned_encoder_slots(),
+    "learned_encoder_wide": _LEARNED_ENCODER_WIDE,
     "confusion": _with([_INTAKE, _CONFUSION], "SELECT tp, fp, fn, tn FROM cells"),
     "hard_auc": _with(
         [

@@ -289,6 +289,42 @@ def learned_encoder_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learned.learned_encoder(rows).transform(rows).select("id", values.alias("features"))
 
 
+def learned_encoder_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that is not zero in the vectors of all records, gaps as above, one row per slot."""
+    values = F.posexplode("features").alias("slot", "value")
+    return learned_encoder_filled(spark, sf_dir).select("id", values).where("value <> 0")
+
+
+def _items_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items to be encoded by order and return flag; every fifth order, seventh part and fourth line leaves one out."""
+    return views.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_orderkey") % 5 != 0, F.col("l_orderkey")).alias("order"),
+        F.when(F.col("l_partkey") % 7 != 0, F.col("l_returnflag")).alias("mode"),
+        F.when(F.col("l_linenumber") != 4, F.col("l_quantity").cast("double")).alias("quantity"),
+    )
+
+
+def learned_encoder_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One slot for each order: fitted, saved, loaded again, and applied to all line items."""
+    rows = _items_with_gaps(spark, sf_dir)
+    folder = run_dir(spark, "encoder")
+    learned.wide_encoder(rows, ["quantity"], ["order", "mode"]).save(spark, folder)
+    vector = F.unwrap_udt("features")
+    return (
+        learned.WideEncoder.load(spark, folder)
+        .transform(rows)
+        .select(
+            "l_orderkey",
+            "l_linenumber",
+            vector["size"].alias("width"),
+            F.array_join(vector["indices"].cast("array<string>"), ",").alias("slots"),
+            F.round(F.aggregate(vector["values"], F.lit(0.0), lambda a, b: a + b), 6).alias("total"),
+        )
+    )
+
+
 # --------------------------------------------------- evaluation, arbitration --
 def _rule_prediction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.intake(spark, sf_dir).select(
@@ -522,6 +558,8 @@ QUERIES = {
     "index_categories_wide": index_categories_wide,
     "learned_encoder": learned_encoder,
     "learned_encoder_filled": learned_encoder_filled,
+    "learned_encoder_slots": learned_encoder_slots,
+    "learned_encoder_wide": learned_encoder_wide,
     "confusion": confusion,
     "hard_auc": hard_auc,
     "arbitrate": arbitrate,

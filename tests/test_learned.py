@@ -8,10 +8,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from riskflow.operators.learned import (
+    CategoryIndex,
+    WideEncoder,
     impute_mean,
     impute_mode,
     index_categories,
     learned_encoder,
+    wide_encoder,
 )
 from riskflow.plans import views
 from riskflow.plans.queries import QUERIES
@@ -93,3 +96,55 @@ def test_encoder_fills_the_gaps_of_all_records(spark, sf_dir):
     assert len(found) == len(rows) == len(expected)
     for row in found:
         assert row.features == pytest.approx(expected[row.id], abs=2e-6)
+
+
+def test_wide_encoder_equals_the_pipeline(spark, sf_dir):
+    df = views.records(spark, sf_dir).withColumns(
+        {
+            "smoking_status": F.expr("CASE WHEN id % 11 <> 0 THEN smoking_status END"),
+            "hypertension": F.expr("CASE WHEN id % 13 <> 0 THEN hypertension END"),
+        }
+    )
+    encoder = wide_encoder(df)
+    wide = encoder.transform(df)
+    assert wide.columns == [*df.columns, "features"]
+    expected = {row.id: row.features.toArray() for row in learned_encoder(df).transform(df).collect()}
+    found = {row.id: row.features.toArray() for row in wide.select("id", "features").collect()}
+    assert set(found) == set(expected)
+    assert all(len(v) == encoder.width and v == pytest.approx(expected[k]) for k, v in found.items())
+
+
+def test_wide_encoder_is_saved_and_loaded(spark, folder):
+    df = spark.createDataFrame(
+        [(1, 2.0, "a"), (2, float("nan"), "b"), (3, 0.0, None), (4, None, "a"), (5, 4.0, "c"), (5, 4.0, "c")],
+        "id int, `x.y` double, `k l` string",
+    )
+    wide_encoder(df, ["x.y"], ["k l"], "keep").save(spark, folder)
+    encoder = WideEncoder.load(spark, folder)
+    other = df.unionByName(spark.createDataFrame([(6, 1.0, "new")], df.schema))
+    rows = {row.id: row.features for row in encoder.transform(other).collect()}
+    # a and c come twice, so a is first, and so stands for null; b, the rarest, has no slot
+    assert {i: v.toArray().tolist() for i, v in rows.items()} == {
+        1: [2.0, 1.0, 0.0], 2: [2.5, 0.0, 0.0], 3: [0.0, 1.0, 0.0], 4: [2.5, 1.0, 0.0], 5: [4.0, 0.0, 1.0], 6: [1.0, 0.0, 0.0],
+    }
+    assert encoder.transform(df.limit(0)).count() == 0
+
+
+def test_category_index_is_saved_and_loaded(spark, folder):
+    df = spark.createDataFrame([(v, v) for v in "cbbaad"], "v string, w string")
+    index_categories(df, ["v", "w"]).save(spark, folder)
+    rows = CategoryIndex.load(spark, folder).transform(df).collect()
+    assert {row.v: (row.v_idx, row.w_idx) for row in rows} == {c: (float(i),) * 2 for i, c in enumerate("abcd")}
+    with pytest.raises(PySparkException, match="unknown w: e"):
+        CategoryIndex.load(spark, folder).transform(spark.createDataFrame([("a", "e")], df.schema)).collect()
+
+
+def test_wide_encoder_needs_a_value_of_each_number(spark):
+    df = spark.createDataFrame([(None, "a")], "x double, k string")
+    with pytest.raises(ValueError, match="no value to fill the gaps of x"):
+        wide_encoder(df, ["x"], ["k"])
+
+
+def test_wide_encoder_without_python_workers(spark, sf_dir):
+    plan = QUERIES["learned_encoder_wide"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
