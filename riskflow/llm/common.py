@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 from collections.abc import Sequence
 from heapq import nsmallest
 
@@ -18,6 +19,13 @@ from riskflow.workspace import run_dir
 #: A key with more than 1 / SHARES of all rows is dealt to several tasks; so at most SHARES keys are.
 SHARES = 1000
 
+# Blocks of scripts that put no space between words: Thai and Lao, Myanmar, Khmer,
+# Kana, CJK ideographs with extension A, compatibility ideographs, the supplementary planes 2 and 3.
+UNSPACED = (
+    "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+    "\U00020000-\U0003ffff"
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -183,6 +191,16 @@ class Best:
         return [(None if absent else i, -score) for score, absent, i in self.rows]
 
 
+class Spacing:
+    """Parts runs of scripts without spaces into pieces of ``n`` characters; other texts stay as they are."""
+
+    def __init__(self, n: int):
+        self.piece = re.compile(f"[{UNSPACED}]{{1,{n}}}")
+
+    def __call__(self, text: str) -> str:
+        return text if text.isascii() else self.piece.sub(r" \g<0> ", text)
+
+
 def chunks(texts: list[str | None], limit: int = 1 << 22) -> list[slice]:
     """Cut a list of texts where about ``limit`` characters have gathered; a longer text is alone."""
     cuts, start, size = [], 0, 0

@@ -14,13 +14,16 @@ anchor.  A walk goes on only while its sampled words so far begin the key of som
 item; where it completes a key, the text around, shifted back by the anchor, is
 compared with that item by exact edit distance.  Repetitions are added, without a
 limit, until fresh simulated copies with ``EDITS`` of the words edited are found
-with probability ``RECALL``; unedited copies always are.
+with probability ``RECALL``; unedited copies always are.  Items of less than
+``MIN_WORDS`` words are looked up whole, without edits.
 
 The items are the query set: slices of at most ``BENCHMARK_BYTES`` are shipped to
 the tasks, one pass over the documents for each slice.
 
-Defined cases: a null or empty text contains nothing; items of less than
-``MIN_WORDS`` words, null ones included, are not searched; an item that is there
+Each character of a script without spaces is a word of its own.
+
+Defined cases: a null or empty text contains nothing, and such an item is nowhere; a
+single word, though found, is no passage for which a document is dropped; an item that is there
 several times gives the place of the smallest distance, the first one of equals;
 repeated rows and repeated items are reported each; null ids are carried along;
 other columns are ignored.
@@ -38,11 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import chunks
+from riskflow.llm.common import Spacing, chunks
 
 #: Share of an item's words that may be edited.
 EDITS = 0.15
 RECALL = 0.97
+#: Shorter items must be there as they are.
 MIN_WORDS = 5
 #: Words sampled for a key, and steps of the stretch they are sampled from at most.
 SAMPLED, STRETCH = 3, 24
@@ -52,10 +56,11 @@ TRIALS, TRIALS_EACH = 2000, 4
 CLASS_FACTOR = 1.5
 BENCHMARK_BYTES = 32 << 20
 _OUTSIDE, _BREAK = 0, -1
+CHARACTERS = Spacing(1)
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().split()
+    return CHARACTERS(text or "").lower().encode().split()
 
 
 def allowed_edits(n_words: int) -> int:
@@ -182,21 +187,40 @@ class Benchmark:
     words: dict[bytes, int]
     items: list[np.ndarray]
     classes: list[SizeClass]
+    #: Short items: by length, the items of each sequence of words.
+    short: dict[int, dict[tuple[int, ...], list[int]]]
 
     @classmethod
-    def of(cls, rows: list[tuple[object, str | None]], seed: int = 7) -> Benchmark:
+    def of(cls, rows: list[tuple[object, str | None]], seed: int = 7, least_words: int = 1) -> Benchmark:
+        """Items of at least ``least_words`` words."""
         ids, items, words = [], [], {}
         for item_id, text in rows:
             found = words_of(text)
-            if len(found) >= MIN_WORDS:
+            if len(found) >= least_words:
                 ids.append(item_id)
                 items.append([words.setdefault(w, len(words) + 1) for w in found])
         by_class: dict[int, list[int]] = {}
+        short: dict[int, dict[tuple[int, ...], list[int]]] = {}
         for i, item in enumerate(items):
+            if len(item) < MIN_WORDS:
+                short.setdefault(len(item), {}).setdefault(tuple(item), []).append(i)
+                continue
             by_class.setdefault(int(math.log(len(item), CLASS_FACTOR)), []).append(i)
         rng = np.random.default_rng(seed)
         classes = [_size_class(members, items, rng) for _, members in sorted(by_class.items())]
-        return cls(ids, words, [np.array(i, np.int64) for i in items], classes)
+        return cls(ids, words, [np.array(i, np.int64) for i in items], classes, short)
+
+    def _short_matches(self, words: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(item, place) of all short items."""
+        for n, items in self.short.items():
+            if len(words) < n:
+                continue
+            places = np.arange(len(words) - n + 1)
+            for step, known in enumerate(zip(*items, strict=True)):
+                places = places[np.isin(words[places + step], list(set(known)))]
+            for place in places.tolist():
+                for item in items.get(tuple(words[place : place + n].tolist()), ()):
+                    yield item, place
 
     def matches(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
         """(text, item, word at which it starts, edit distance), one for each text and item."""
@@ -226,6 +250,9 @@ class Benchmark:
                 for text, place, key in zip(source.tolist(), places.tolist(), keys.tolist(), strict=True):
                     found.update((item, text, place) for item in repeat.items_of.get(key, ()))
         best: dict[tuple[int, int], tuple[int, int]] = {}
+        for item, place in self._short_matches(words):
+            text = int(np.searchsorted(first, place, "right")) - 1
+            best.setdefault((text, item), (0, place - int(first[text])))
         for item, text, low, high in _merged(found, self.items):
             edits = allowed_edits(len(self.items[item]))
             a = max(int(first[text]), low - edits)
@@ -296,13 +323,16 @@ def edit_distance(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
-def _slices(benchmark: DataFrame, item_column: str, text_column: str) -> Iterator[Benchmark]:
+def _slices(
+    benchmark: DataFrame, item_column: str, text_column: str, least_words: int
+) -> Iterator[Benchmark]:
     size = F.coalesce(F.sum(F.octet_length(text_column)), F.lit(0)).alias("n")
     passes = max(1, math.ceil(benchmark.agg(size).first()["n"] / BENCHMARK_BYTES))
     items = benchmark.select(F.col(item_column).alias("id"), F.col(text_column).alias("text"))
     for i in range(passes):
         some = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(passes)) == i)
-        yield Benchmark.of([(r["id"], r["text"]) for r in some.orderBy("id", "text").collect()])
+        rows = [(r["id"], r["text"]) for r in some.orderBy("id", "text").collect()]
+        yield Benchmark.of(rows, least_words=least_words)
 
 
 def find_passages(
@@ -319,7 +349,7 @@ def find_passages(
     id_type = docs.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {id_type}, `{item_column}` {item_type.simpleString()}, start bigint, distance int, n_words int"
     result = None
-    for part in _slices(benchmark, item_column, item_text):
+    for part in _slices(benchmark, item_column, item_text, 1):
         shipped = docs.sparkSession.sparkContext.broadcast(part)
 
         def search(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
@@ -342,10 +372,10 @@ def find_passages(
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, text_column: str = "text"
+    docs: DataFrame, benchmark: DataFrame, text_column: str = "text", least_words: int = 2
 ) -> DataFrame:
-    """The documents without any passage, with all their columns, judged row by row without a shuffle."""
-    for part in _slices(benchmark, "item_id", "text"):
+    """The documents without any passage of ``least_words`` words or more, with all their columns, judged row by row without a shuffle."""
+    for part in _slices(benchmark, "item_id", "text", least_words):
         shipped = docs.sparkSession.sparkContext.broadcast(part)
 
         def clean(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:

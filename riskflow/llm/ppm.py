@@ -31,10 +31,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import HashIndex, WordIds, chunks, written
+from riskflow.llm.common import HashIndex, WordIds, chunks, salted_join, written
 
 ORDER = 4
 #: Characters of a block.
@@ -271,14 +271,16 @@ def score_documents(
     words = rows.where(F.col("kind") == _WORDS).select("block", "key", "n")
     strings = rows.where(F.col("kind") == _STRINGS).select("block", "key", "n")
 
-    # A word has one row per block that has it.
-    same = Window.partitionBy("key")
-    word_answers = words.select(
+    # A word or string has one row per block that has it; a common one is in all blocks.
+    counted = words.groupBy("key").agg(F.sum("n").alias("value"), F.count("*").alias("blocks"), F.min("block").alias("least"))
+    word_answers = salted_join(
+        words.select("block", "key"), written(counted, "ppm-words"), ["key"], "blocks", "block"
+    ).select(
         "block",
         F.lit(_WORDS).alias("kind"),
         "key",
-        F.sum("n").over(same).cast("double").alias("value"),
-        (F.col("block") == F.min("block").over(same)).alias("lead"),
+        F.col("value").cast("double").alias("value"),
+        (F.col("block") == F.col("least")).alias("lead"),
     )
     string_answers = (
         strings.select("block", "key")

@@ -13,6 +13,7 @@ of the corpus; the model is ``2 ** BITS`` weights.
 Defined cases: a text that is null or has no word scores 0 and is not kept; a
 corpus of one kind of document only is judged by the scorer's bias; repeated rows
 are judged each; a null id is judged like any other; other columns are ignored.
+Scripts without spaces count in pieces of two characters.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskflow.llm.common import Spacing
+
 #: Documents that train the scorer, at most.
 SAMPLE = 8000
 BITS = 14
@@ -42,6 +45,7 @@ DIGITS = b"0123456789"
 
 #: Words whose distinct share is taken together: the share of a whole text falls with its length.
 WINDOW = 64
+PIECES = Spacing(2)
 
 
 def _count(raw: bytes, members: bytes) -> int:
@@ -65,7 +69,7 @@ class Facts:
     @classmethod
     def of(cls, text: str | None) -> Facts:
         raw = (text or "").encode()
-        words = raw.split()
+        words = PIECES(text or "").encode().split()
         size, n = max(1, len(raw)), max(1, len(words))
         upper, lower = _count(raw, UPPER), _count(raw, LOWER)
         lines = [line for line in raw.split(b"\n") if line.strip()]

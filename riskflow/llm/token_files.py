@@ -1,7 +1,7 @@
 """Token ids as flat files of unsigned integers with 64-bit document offsets.
 
-The documents are range-partitioned and sorted by id.  Each task writes one set
-of files: ``.bin`` with the ids of its documents one after the other (16 bits
+The documents are range-partitioned and sorted by id.  Each task writes sets of
+files, a new one where ``FILE_BYTES`` or ``FILE_DOCS`` are reached: ``.bin`` with the ids of its documents one after the other (16 bits
 wide if the vocabulary allows, else 32), ``.idx`` with an unsigned 64-bit offset
 per document and one more for the end, ``.doc`` with the document ids.  The row
 a task returns is what commits its files: their names hold the attempt, so those
@@ -9,11 +9,11 @@ of a failed or repeated attempt are never read.  The place of a file in the whol
 is the prefix sum of the counts before it, over one row per file.
 
 Readers map the files into memory where the folder is local, and read them by the
-file system's own client elsewhere.
+file system's own client elsewhere, a range of the ids at a time.
 
 Defined cases: a null text counts as empty; each document ends with the end id,
 so an empty one has one id; null document ids come first; rows that repeat an id
-follow each other; an empty table gives an index without rows; other columns are
+follow each other, in no stated order; an empty table gives an index without rows; other columns are
 ignored.
 """
 
@@ -37,6 +37,10 @@ from riskflow.workspace import run_dir
 
 #: Words whose ids a worker remembers; then it starts afresh.
 CACHE = 1_000_000
+#: A file of ids is closed when it has so many bytes or documents.
+FILE_BYTES, FILE_DOCS = 1 << 30, 1 << 20
+#: Ids and documents that are read at a time.
+READ_IDS, READ_DOCS = 1 << 20, 4096
 _INDEX = "part int, name string, n_docs bigint, n_ids bigint"
 
 
@@ -72,6 +76,41 @@ def _worker_encoder(definition: str, dtype: str) -> WordEncoder:
     return WordEncoder(definition, dtype)
 
 
+class _FileSet:
+    """The files of some documents, while they are written."""
+
+    def __init__(self, folder: str, name: str, dtype: str, end_id: int):
+        self.name, self.end = name, np.array([end_id], dtype).tobytes()
+        self.files, self.base = _open_folder(folder)
+        self.tokens = self.files.open_output_stream(f"{self.base}/{name}.bin")
+        self.offsets, self.ids = [0], []
+
+    def add(self, ids: pa.Array, encoded: list[bytes]) -> None:
+        for raw in encoded:
+            self.tokens.write(raw + self.end)
+            self.offsets.append(self.offsets[-1] + len(raw) // len(self.end) + 1)
+        self.ids.append(ids)
+
+    def is_full(self) -> bool:
+        return self.offsets[-1] * len(self.end) >= FILE_BYTES or len(self.offsets) > FILE_DOCS
+
+    def close(self, part: int) -> pa.RecordBatch:
+        """Writes what belongs to the ids; the row for the index."""
+        self.tokens.close()
+        with self.files.open_output_stream(f"{self.base}/{self.name}.idx") as out:
+            out.write(np.array(self.offsets, "<u8").tobytes())
+        column = pa.chunked_array(self.ids)
+        with (
+            self.files.open_output_stream(f"{self.base}/{self.name}.doc") as out,
+            pa.ipc.new_file(out, pa.schema([pa.field("id", column.type)])) as writer,
+        ):
+            writer.write_table(pa.table({"id": column}))
+        row = ([part], [self.name], [len(self.offsets) - 1], [self.offsets[-1]])
+        types = (pa.int32(), pa.string(), pa.int64(), pa.int64())
+        arrays = [pa.array(c, t) for c, t in zip(row, types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, ["part", "name", "n_docs", "n_ids"])
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -92,61 +131,52 @@ def write_token_files(
     shipped = spark.sparkContext.broadcast(definition)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        part, name = task.partitionId(), f"{task.partitionId():06d}-{task.taskAttemptId()}"
-        encoder, offsets, ids, files = None, [0], [], None
-        end = np.array([end_id], dtype).tobytes()
+        task, made, current = TaskContext.get(), 0, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if encoder is None:
-                encoder = _worker_encoder(shipped.value, dtype)
-                files, base = _open_folder(folder)
-                tokens = files.open_output_stream(f"{base}/{name}.bin")
-            texts = batch.column(1).to_pylist()
+            texts, ids = batch.column(1).to_pylist(), batch.column(0)
             for some in chunks(texts):
-                for raw in encoder.encode(texts[some]):
-                    tokens.write(raw + end)
-                    offsets.append(offsets[-1] + (len(raw) + len(end)) // len(end))
-            ids.append(batch.column(0))
-        if encoder is None:
-            return
-        tokens.close()
-        with files.open_output_stream(f"{base}/{name}.idx") as out:
-            out.write(np.array(offsets, "<u8").tobytes())
-        column = pa.chunked_array(ids)
-        with (
-            files.open_output_stream(f"{base}/{name}.doc") as out,
-            pa.ipc.new_file(out, pa.schema([pa.field("id", column.type)])) as writer,
-        ):
-            writer.write_table(pa.table({"id": column}))
-        row = ([part], [name], [len(offsets) - 1], [offsets[-1]])
-        types = (pa.int32(), pa.string(), pa.int64(), pa.int64())
-        arrays = [pa.array(c, t) for c, t in zip(row, types, strict=True)]
-        yield pa.RecordBatch.from_arrays(arrays, ["part", "name", "n_docs", "n_ids"])
+                if current is None:
+                    encoder = _worker_encoder(shipped.value, dtype)
+                    name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{made:06d}"
+                    current, made = _FileSet(folder, name, dtype, end_id), made + 1
+                current.add(ids[some], encoder.encode(texts[some]))
+                if current.is_full():
+                    yield current.close(task.partitionId())
+                    current = None
+        if current is not None:
+            yield current.close(task.partitionId())
 
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # An id that many rows have, or none, need not stay in one range.
+    spread = F.xxhash64(text_column)
     parts = written(
         docs.select(id_column, text_column)
-        .repartitionByRange(partitions, id_column)
+        .repartitionByRange(partitions, id_column, spread)
         .sortWithinPartitions(id_column)
         .mapInArrow(write, _INDEX),
         "token-parts",
     )
-    # One row per file: as many as there are partitions, whatever the size of the input.
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file of up to FILE_BYTES; the names of a part are in the order of its documents.
+    before = Window.orderBy("part", "name").rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base")
     index = parts.select("*", base, F.lit(folder).alias("folder"), F.lit(dtype).alias("dtype"))
     index.write.parquet(f"{folder}/index")
     return spark.read.schema(index.schema).parquet(f"{folder}/index")
 
 
-def _contents(files: pafs.FileSystem, path: str) -> pa.Buffer:
-    """The file as one buffer, mapped into memory where it is local."""
-    if isinstance(files, pafs.LocalFileSystem):
-        return pa.memory_map(path).read_buffer()
-    with files.open_input_file(path) as source:
-        return source.read_buffer()
+def _open_file(files: pafs.FileSystem, path: str) -> pa.NativeFile:
+    """The file for reads at any place, mapped into memory where it is local."""
+    return pa.memory_map(path) if isinstance(files, pafs.LocalFileSystem) else files.open_input_file(path)
+
+
+def _runs(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of at most READ_IDS ids together; a longer document is alone."""
+    a, n = 0, len(offsets) - 1
+    while a < n:
+        b = int(np.searchsorted(offsets, offsets[a] + READ_IDS, "right")) - 1
+        b = min(max(b, a + 1), a + READ_DOCS, n)
+        yield a, b
+        a = b
 
 
 def read_token_files(index: DataFrame, id_column: str = "doc_id", id_type: str = "bigint") -> DataFrame:
@@ -158,22 +188,28 @@ def read_token_files(index: DataFrame, id_column: str = "doc_id", id_type: str =
             for row in batch.to_pylist():
                 files, folder = _open_folder(row["folder"])
                 path = f"{folder}/{row['name']}"
-                tokens = np.frombuffer(_contents(files, f"{path}.bin"), row["dtype"])
-                offsets = np.frombuffer(_contents(files, f"{path}.idx"), "<u8").astype(np.int64)
-                ids = pa.ipc.open_file(_contents(files, f"{path}.doc")).read_all().column("id")
-                for a in range(0, len(ids), 4096):
-                    ends = offsets[a : a + 4097]
-                    crc = [
-                        zlib.crc32(tokens[s:e].astype("<u4").tobytes())
-                        for s, e in zip(ends, ends[1:], strict=False)
-                    ]
-                    columns = [
-                        ids.slice(a, 4096).combine_chunks(),
-                        pa.array(ends[:-1] + row["base"]),
-                        pa.array(np.diff(ends)),
-                        pa.array(crc, pa.int64()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                width = np.dtype(row["dtype"]).itemsize
+                with _open_file(files, f"{path}.idx") as source:
+                    offsets = np.frombuffer(source.read(), "<u8").astype(np.int64)
+                with _open_file(files, f"{path}.doc") as source:
+                    ids = pa.ipc.open_file(pa.py_buffer(source.read())).read_all().column("id")
+                with _open_file(files, f"{path}.bin") as source:
+                    for a, b in _runs(offsets):
+                        first, last = int(offsets[a]), int(offsets[b])
+                        raw = source.read_at((last - first) * width, first * width)
+                        tokens = np.frombuffer(raw, row["dtype"]).astype("<u4")
+                        ends = offsets[a : b + 1]
+                        crc = [
+                            zlib.crc32(tokens[s:e].tobytes())
+                            for s, e in zip(ends - first, ends[1:] - first, strict=False)
+                        ]
+                        columns = [
+                            ids.slice(a, b - a).combine_chunks(),
+                            pa.array(ends[:-1] + row["base"]),
+                            pa.array(np.diff(ends)),
+                            pa.array(crc, pa.int64()),
+                        ]
+                        yield pa.RecordBatch.from_arrays(columns, names)
 
     files = max(1, index.count())
     schema = f"`{id_column}` {id_type}, start bigint, n_tokens bigint, ids_crc32 bigint"

@@ -14,7 +14,8 @@ Defined cases: a null url or one without ``://`` has an empty host and path and
 fits no rule; of several fitting rules the longest string wins, then the longer
 host, then ``allow``; a url that no key of the cascade lists is allowed; rules
 repeated are one rule; rows repeated are judged each; columns of the input other
-than id and url are ignored.
+than id and url are ignored.  A list of any length is dealt by hash into cascades of
+about ``KEYS`` rules, one pass over the urls for each.
 """
 
 from __future__ import annotations
@@ -30,7 +31,9 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A level's bits travel with each task; a list that needs more has to be split by host first.
+#: Rules of a cascade, about.
+KEYS = 1 << 19
+#: A level's bits travel with each task; KEYS keys stay below this.
 MAX_WORDS = 1 << 21
 
 
@@ -169,28 +172,30 @@ def is_listed(key: Column, levels: Sequence[Level]) -> Column:
 
 
 def judge_urls(
-    pages: DataFrame, rules: DataFrame, id_column: str = "page_id", url_column: str = "url"
+    pages: DataFrame,
+    rules: DataFrame,
+    id_column: str = "page_id",
+    url_column: str = "url",
+    keys_a_cascade: int = KEYS,
 ) -> DataFrame:
     """One row per page: id, host, path, rule, verdict.
 
-    ``rules`` has columns action, host, path; its size is bounded by MAX_WORDS.
+    ``rules`` has columns action, host, path.
     """
     lengths = sorted(r["n"] for r in rules.select(F.length("path").alias("n")).distinct().collect())
     host, path = url_parts(F.col(url_column))
     parts = pages.select(F.col(id_column), host.alias("host"), path.alias("path"))
-    keyed = parts.withColumn("candidate", candidate_keys(F.col("host"), F.col("path"), lengths))
+    candidate = candidate_keys(F.col("host"), F.col("path"), lengths)
 
     actions = ("allow", "block")
-    spread = keyed.select(F.explode("candidate").alias("c")).distinct()
+    spread = parts.select(F.explode(candidate).alias("c")).distinct()
     universe = spread.select(
         F.explode(
             F.array(*[_key(a, F.col("c.host"), F.col("c.path")) for a in actions])
         ).alias("key")
     )
-    listed = rules.select(_key(F.col("action"), F.col("host"), F.col("path")).alias("key"))
-    levels = build_cascade(listed, universe)
 
-    def hits(action: str) -> Column:
+    def hits(action: str, levels: Sequence[Level]) -> Column:
         fitting = F.filter("candidate", lambda c: is_listed(_key(action, c["host"], c["path"]), levels))
         return F.transform(
             fitting,
@@ -202,9 +207,19 @@ def judge_urls(
             ),
         )
 
-    best = F.array_max(F.concat(*[hits(a) for a in actions]))
+    keys = rules.select(_key(F.col("action"), F.col("host"), F.col("path")).alias("key"))
+    slices = max(1, math.ceil(keys.count() / keys_a_cascade))
+    for number in range(slices):
+        listed = keys.where(F.pmod(F.xxhash64("key"), F.lit(slices)) == number) if slices > 1 else keys
+        levels = build_cascade(listed, universe)
+        best = F.array_max(F.concat(*[hits(a, levels) for a in actions]))
+        if number:
+            best = F.array_max(F.array(F.col("best"), best))
+        parts = parts.withColumn("candidate", candidate).withColumn("best", best).drop("candidate")
+        if number < slices - 1:
+            parts = written(parts, "bloom-judged")
     verdict = F.when(F.coalesce(F.col("best.allowed"), F.lit(True)), "allow").otherwise("block")
-    return keyed.withColumn("best", best).select(
+    return parts.select(
         F.col(id_column), "host", "path", F.col("best.rule").alias("rule"), verdict.alias("verdict")
     )
 

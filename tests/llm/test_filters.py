@@ -53,6 +53,22 @@ def test_urls(spark):
     assert {(r["rule"], r["verdict"]) for r in none} == {(None, "allow")}
 
 
+def test_a_list_of_several_cascades(spark):
+    rules = [
+        *url_filter.RULES,
+        *[UrlRule(a, f"h{i}.net", "/en/"[: 1 + i % 4]) for i in range(9) for a in ("block", "allow")[: 1 + i % 2]],
+    ]
+    hosts = ["net", "example.net", "h3.net", "a.h4.net", "org", "example.com", "h8.net", "none.io"]
+    urls = [f"http://{host}{path}" for host in hosts for path in ("", "/", "/en/x", "/de/", "/fr/" + "z" * 5000)]
+    pages = spark.createDataFrame(list(enumerate([*urls, None])), "page_id bigint, url string")
+    table = url_filter.rules_table(spark, rules)
+    one = sorted(map(tuple, url_filter.judge_urls(pages, table).collect()))
+    assert sorted(map(tuple, url_filter.judge_urls(pages, table, keys_a_cascade=5).collect())) == one
+    # Of a rule that is in the list for both actions, the one that allows wins.
+    by_hand = [(i, *verdict_by_hand(u, sorted(rules, key=lambda r: r.action))) for i, u in enumerate([*urls, None])]
+    assert one == sorted(by_hand)
+
+
 def test_cascade_is_exact_on_its_universe(spark):
     universe = spark.range(3000).selectExpr("CAST(id AS STRING) AS key")
     listed = universe.where("pmod(xxhash64(key), 10) = 0")
@@ -153,6 +169,52 @@ def test_candidates_of_neighbouring_texts_are_kept_apart():
     assert found == [(2 * k + 1, 0, 0, 0) for k in range(len(texts))]
 
 
+def test_items_of_less_than_five_words_are_looked_up_whole(spark, docs_of):
+    items = [(0, "one Two three four"), (1, "two three"), (2, "word"), (3, None), (4, ""), (5, "two three"), (6, "one two")]
+    texts = ["x ONE two  three four y", "two\tthree two three", "three two", "a word", "two", "three", None, ""]
+    found = decontaminate.Benchmark.of(items).matches(texts)
+    assert found == [  # text, number of the item among those with words, place, distance
+        (0, 0, 1, 0), (0, 1, 2, 0), (0, 3, 2, 0), (0, 4, 1, 0), (1, 1, 0, 0), (1, 3, 0, 0), (3, 2, 1, 0),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    kept = decontaminate.drop_contaminated(docs_of(*enumerate(texts)), benchmark).collect()
+    assert sorted(r["doc_id"] for r in kept) == [2, 3, 4, 5, 6, 7]  # one word is no passage
+
+
+def test_items_of_scripts_without_spaces():
+    items = [(0, "今天天气很好我们去公园散步"), (1, "你好"), (2, "ประเทศไทยมีเมืองหลวง")]
+    edited = "今天天气很好你们去公园散步"
+    texts = ["他说今天天气很好我们去公园散步吧", f"前{edited}后", "说你好吗", "x ประเทศไทยมีเมืองหลวง y", "公园很好"]
+    found = {(text, item): distance for text, item, _, distance in decontaminate.Benchmark.of(items).matches(texts)}
+    assert found.pop((1, 0), 1) == 1  # an edited copy is found with RECALL
+    assert found == {(0, 0): 0, (2, 1): 0, (3, 2): 0}
+
+
+def test_edited_passages_against_all_places():
+    rng = random.Random(12)
+    items = [random_words(rng, rng.randrange(5, 40)) for _ in range(40)]
+    texts = []
+    for k in range(200):
+        passage = edited_copy(rng, items[k % 40]) if k % 3 else random_words(rng, 20)
+        texts.append(" ".join(random_words(rng, rng.randrange(30)) + passage + random_words(rng, rng.randrange(30))))
+    least = {}
+    for t, text in enumerate(texts):
+        words = text.split()
+        for i, item in enumerate(items):
+            row = [0] * (len(words) + 1)
+            for a in range(1, len(item) + 1):
+                new = [a]
+                for b, word in enumerate(words, start=1):
+                    new.append(min(row[b - 1] + (word != item[a - 1]), row[b] + 1, new[-1] + 1))
+                row = new
+            if min(row) <= decontaminate.allowed_edits(len(item)):
+                least[t, i] = min(row)
+    benchmark = decontaminate.Benchmark.of([(i, " ".join(item)) for i, item in enumerate(items)])
+    found = {(t, i): distance for t, i, _, distance in benchmark.matches(texts)}
+    assert found.items() <= least.items()
+    assert len(found) >= 0.93 * len(least) and len(least) > 100
+
+
 def test_verbatim_copies_of_short_items_are_found():
     rng = random.Random(10)
     for n in (5, 6, 7):

@@ -3,9 +3,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import os
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import tiktoken
 from hypothesis import given
@@ -150,3 +152,34 @@ def test_token_files(docs_of, odd_rows, spark):
     found = token_files.round_trip(spark, docs_of(*rows), path, 2)
     assert sorted(map(tuple, found.collect()), key=lambda r: r[1]) == expected
     assert token_files.round_trip(spark, docs_of(*rows).where("false"), path, 2).collect() == []
+
+
+def test_token_files_of_bounded_size(folder, spark, monkeypatch):
+    monkeypatch.setattr(token_files, "FILE_DOCS", 2)
+    os.makedirs(folder)
+    rows, sizes = [], [3, 0, 1, 70_000, 2]
+    files, made = None, 0
+    for i, size in enumerate(sizes):
+        files = files or token_files._FileSet(f"file:{folder}", f"000000-0-{made:06d}", "<u2", 2)
+        files.add(pa.array([i]), [np.arange(size, dtype="<u2").tobytes()])
+        if files.is_full() or i == len(sizes) - 1:
+            rows += files.close(0).to_pylist()
+            files, made = None, made + 1
+    assert [r["n_docs"] for r in rows] == [2, 2, 1]
+    base = 0
+    for row in rows:
+        row |= {"base": base, "folder": f"file:{folder}", "dtype": "<u2"}
+        base += row["n_ids"]
+    index = spark.createDataFrame(rows)
+    found = sorted(map(tuple, token_files.read_token_files(index).collect()))
+    ids = [np.append(np.arange(size, dtype="<u2"), 2).astype("<u4") for size in sizes]
+    starts = np.cumsum([0, *map(len, ids)])
+    assert found == [(i, starts[i], len(x), zlib.crc32(x.tobytes())) for i, x in enumerate(ids)]
+
+
+def test_ranges_of_token_files(monkeypatch):
+    monkeypatch.setattr(token_files, "READ_IDS", 10)
+    monkeypatch.setattr(token_files, "READ_DOCS", 3)
+    offsets = np.array([0, 4, 8, 40, 41, 42, 43, 44, 50])
+    assert list(token_files._runs(offsets)) == [(0, 2), (2, 3), (3, 6), (6, 8)]
+    assert list(token_files._runs(np.array([0]))) == []

@@ -137,3 +137,10 @@ def test_label_model_learns_from_overlap():
     two_faults = all_good - (quality.GOOD - quality.JUNK) * (3**0 + 3**1)
     posterior = quality.label_model(np.array([all_good, two_faults]), np.array([900.0, 100.0]))
     assert posterior[0] > 0.95 and posterior[1] < 0.05
+
+
+def test_scripts_without_spaces_are_no_fault():
+    text = "今天天气很好，我们一起去公园散步。孩子们在草地上玩耍，老人坐在树下聊天，大家都很开心。" * 3
+    votes = [label(quality.Facts.of(text)) for label in quality.LABELLERS]
+    assert quality.JUNK not in votes
+    assert quality.JUNK in [label(quality.Facts.of("x" * 200)) for label in quality.LABELLERS]
