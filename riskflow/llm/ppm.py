@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import HashIndex, WordIds, chunks, salted_join, written
+from riskflow.llm.common import HashIndex, WordIds, chunks, written
 
 ORDER = 4
 #: Characters of a block.
@@ -233,7 +233,6 @@ def _score_block(id_column: str, packs: pa.Table, answers: pa.Table) -> pa.Table
     words, counts = HashIndex(key[is_word]), value[is_word]
     strings, scores = HashIndex(key[~is_word]), value[~is_word]
     log_counts = np.log10(counts + PSEUDO)
-    new_words = int(np.count_nonzero(answers.column("lead").to_numpy(zero_copy_only=False)[is_word] & (counts > 0)))
     parts = []
     for body in packs.column("body"):
         table = pa.ipc.open_stream(body.as_py()).read_all()
@@ -254,11 +253,9 @@ def _score_block(id_column: str, packs: pa.Table, answers: pa.Table) -> pa.Table
                     "n_seen": pa.array(np.bincount(of, counts[found] > 0, len(texts)).astype(np.int64)),
                     "logs": pa.array(np.bincount(of, log_counts[found], len(texts)).astype(float)),
                     "score": pa.array(np.add.reduceat(scores[strings.find(codes)], starts)),
-                    "new_words": pa.array(np.append(new_words, np.zeros(len(texts) - 1)).astype(np.int64)),
                 }
             )
         )
-        new_words = 0
     return pa.concat_tables(parts)
 
 
@@ -271,22 +268,20 @@ def score_documents(
     words = rows.where(F.col("kind") == _WORDS).select("block", "key", "n")
     strings = rows.where(F.col("kind") == _STRINGS).select("block", "key", "n")
 
-    # A word or string has one row per block that has it; a common one is in all blocks.
-    counted = words.groupBy("key").agg(F.sum("n").alias("value"), F.count("*").alias("blocks"), F.min("block").alias("least"))
-    word_answers = salted_join(
-        words.select("block", "key"), written(counted, "ppm-words"), ["key"], "blocks", "block"
-    ).select(
-        "block",
-        F.lit(_WORDS).alias("kind"),
-        "key",
-        F.col("value").cast("double").alias("value"),
-        (F.col("block") == F.col("least")).alias("lead"),
+    # A word or string has one row per block that has it.  A common one is in all blocks, but
+    # meets one row, so a join needs no memory for it and adaptive execution can split it.
+    counted = written(words.groupBy("key").agg(F.sum("n").cast("double").alias("value")), "ppm-words")
+    word_answers = (
+        words.select("block", "key")
+        .hint("merge")
+        .join(counted, "key")
+        .select("block", F.lit(_WORDS).alias("kind"), "key", "value")
     )
     string_answers = (
         strings.select("block", "key")
         .hint("merge")
         .join(_string_table(strings), "key")
-        .select("block", F.lit(_STRINGS).alias("kind"), "key", "value", F.lit(False).alias("lead"))
+        .select("block", F.lit(_STRINGS).alias("kind"), "key", "value")
     )
     answers = word_answers.unionByName(string_answers)
 
@@ -298,14 +293,14 @@ def score_documents(
         .applyInArrow(
             lambda left, right: _score_block(id_column, left, right),
             f"`{id_column}` {id_type}, held_out boolean, n_words bigint, n_seen bigint, logs double, "
-            "score double, new_words bigint",
+            "score double",
         ),
         "ppm-scored",
     )
     zero = F.lit(0).cast("long")
     ends = packs.agg(F.coalesce(F.sum("n"), zero)).first()[0]
     n = words.agg(F.coalesce(F.sum("n"), zero)).first()[0] + ends
-    distinct = scored.agg(F.coalesce(F.sum("new_words"), zero)).first()[0] + (ends > 0)
+    distinct = counted.where("value > 0").count() + (ends > 0)
     scale = float(np.log10(n + PSEUDO * (distinct + 1)))
     end_log = float(np.log10(ends + PSEUDO))
     tokens = F.col("n_words") + 1
