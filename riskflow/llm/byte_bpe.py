@@ -9,7 +9,8 @@ encoded as a sentence of its own.  Decoding joins the bytes of the ids.
 
 Defined cases: a null text counts as empty and has no ids; special tokens are
 ordinary text; repeated rows and null ids are encoded each; other columns are
-ignored.  A worker keeps the ids of ``CACHE`` pre-tokens, then starts afresh.
+ignored.  A task keeps the ids of ``CACHE`` pre-tokens of up to ``LONGEST`` characters,
+then starts afresh; longer ones are encoded each time, so its memory is bounded.
 """
 
 from __future__ import annotations
@@ -26,10 +27,12 @@ import regex
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm.common import chunks
+from riskflow.llm.common import give_back, text_chunks
 
-#: Pre-tokens whose ids a worker remembers.
+#: Pre-tokens whose ids a task remembers.
 CACHE = 300_000
+#: Characters of the longest pre-token that is remembered.
+LONGEST = 64
 #: Byte b is the character FIRST_CHARACTER + b of a piece: letters, no white space.
 FIRST_CHARACTER = 0x100
 _MAP = "".join(chr(FIRST_CHARACTER + b) for b in range(256))
@@ -125,7 +128,11 @@ class Encoder:
         for token, ids in zip(new, found, strict=True):
             self.cache[token] = np.array(ids, "<i4").tobytes()
         get = self.cache.__getitem__
-        return [np.frombuffer(b"".join(map(get, tokens)), "<i4") for tokens in cut]
+        rows = [np.frombuffer(b"".join(map(get, tokens)), "<i4") for tokens in cut]
+        for token in new:
+            if len(token) > LONGEST:
+                del self.cache[token]
+        return rows
 
 
 def encode(
@@ -139,14 +146,17 @@ def encode(
     tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # of earlier stages
         encoder = Encoder(tokens.value, pattern)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for some in chunks(texts):
-                found = encoder.encode(texts[some])
+            for some, texts in text_chunks(batch.column(1)):
+                found = encoder.encode(texts)
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found)))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[some], ids], [id_column, "ids"])
+            del batch
+        del encoder
+        give_back()
 
     id_type = docs.schema[id_column].dataType.simpleString()
     return docs.select(id_column, text_column).mapInArrow(
@@ -170,6 +180,7 @@ def _decoded(encoded: DataFrame, vocabulary: str, id_column: str, digests: bool)
     types = [pa.int64(), pa.string(), pa.string()] if digests else [pa.binary()]
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()  # of earlier stages
         token, name = tokens.value.__getitem__, [str(i) for i in range(len(tokens.value))].__getitem__
         for batch in batches:
             column, rows = batch.column(1), []

@@ -5,11 +5,12 @@ from __future__ import annotations
 import ctypes
 import gc
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,6 +118,18 @@ def give_back() -> None:
         trim(0)
 
 
+def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[slice, list[str | None]]]:
+    """Texts of a column, about ``limit`` bytes at a time; only these are taken out of it."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, "right")))
+        yield slice(start, stop), column.slice(start, stop - start).to_pylist()
+        start = stop
+
+
 class WordIds(dict):
     """Numbers words from 0 in the order in which they are first asked for."""
 

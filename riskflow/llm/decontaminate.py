@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import Spacing, chunks
+from riskflow.llm.common import Spacing, chunks, give_back, text_chunks
 
 #: Share of an item's words that may be edited.
 EDITS = 0.15
@@ -379,13 +379,15 @@ def drop_contaminated(
         shipped = docs.sparkSession.sparkContext.broadcast(part)
 
         def clean(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
+            give_back()  # of earlier stages
             for batch in batches:
-                texts = batch.column(text_column).to_pylist()
-                keep = np.ones(len(texts), bool)
-                for some in chunks(texts):
-                    for text, *_ in shipped.value.matches(texts[some]):
+                keep = np.ones(batch.num_rows, bool)
+                for some, texts in text_chunks(batch.column(text_column)):
+                    for text, *_ in shipped.value.matches(texts):
                         keep[some.start + text] = False
                 yield batch.filter(pa.array(keep))
+                del batch
+            give_back()
 
         docs = docs.mapInArrow(clean, docs.schema)
     return docs

@@ -40,20 +40,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import forget, give_back, salted_join, semi_join_ids, written
+from riskflow.llm.common import forget, give_back, salted_join, semi_join_ids, text_chunks, written
 from riskflow.llm.components import components
 
 SHINGLE = 5
 HALVES, ROWS = 20, 4
 #: Documents of a block, and their shingles, on average at most.
 BLOCK_DOCS, BLOCK_SHINGLES = 256, 200_000
-#: Text that is cut into shingles at a time, unless one text is longer.
-CHUNK_BYTES = 1 << 20
 #: Least intersection as a share of the union, in per cent.
 SIMILARITY = 75
 
@@ -108,18 +105,6 @@ def half_keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return keys[:HALVES].T.view(np.int64), (keys[HALVES:].T >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _text_chunks(column: pa.Array) -> Iterator[tuple[slice, list[str | None]]]:
-    """Texts of a column, about ``CHUNK_BYTES`` at a time; only these are taken out of it."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
-    ends = np.cumsum(sizes, dtype=np.int64)
-    start = 0
-    while start < len(ends):
-        before = int(ends[start - 1]) if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, before + CHUNK_BYTES, "right")))
-        yield slice(start, stop), column.slice(start, stop - start).to_pylist()
-        start = stop
-
-
 def _lists(values: np.ndarray, present: np.ndarray, kind: pa.DataType) -> pa.Array:
     """The rows of a matrix as lists, null where absent."""
     ends = np.concatenate([[0], np.cumsum(present * HALVES)]).astype(np.int32)
@@ -133,7 +118,7 @@ def signatures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()  # of earlier stages
         for batch in batches:
-            for some, texts in _text_chunks(batch.column(1)):
+            for some, texts in text_chunks(batch.column(1)):
                 sets = shingle_sets(texts)
                 present = np.array([len(s) > 0 for s in sets])
                 full = [s for s in sets if len(s)]
@@ -263,7 +248,7 @@ def _sets(docs: DataFrame) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for some, texts in _text_chunks(batch.column("text")):
+            for some, texts in text_chunks(batch.column("text")):
                 raw = [s.tobytes() for s in shingle_sets(texts)]
                 rows = batch.slice(some.start, some.stop - some.start)
                 columns = [rows.column(name) for name in ("id", "first", "second")]

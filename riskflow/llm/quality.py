@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import Spacing
+from riskflow.llm.common import Spacing, give_back, text_chunks
 
 #: Documents that train the scorer, at most.
 SAMPLE = 8000
@@ -311,7 +311,11 @@ def drop_junk(docs: DataFrame, id_column: str = "doc_id", text_column: str = "te
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(model)
         for batch in batches:
-            keep = [judge(t)[0] >= THRESHOLD for t in batch.column(text_column).to_pylist()]
+            parts = text_chunks(batch.column(text_column))
+            keep = [judge(t)[0] >= THRESHOLD for _, texts in parts for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
+            del batch
+        del judge
+        give_back()
 
     return docs.mapInArrow(filtered, docs.schema)

@@ -140,6 +140,16 @@ def test_byte_bpe_equals_the_reference_encoder(docs_of, odd_rows, spark):
     assert byte_bpe.digests(encoded.where("false"), VOCABULARY).collect() == []
 
 
+def test_long_pre_tokens_are_encoded_but_not_kept():
+    tokens = byte_bpe.read_ranks(VOCABULARY)
+    encoder = byte_bpe.Encoder(tokens, public_tokenizers.PATTERN)
+    word = "ab" * byte_bpe.LONGEST
+    first, again = encoder.encode([f"{word} {word}", word]), encoder.encode([word, None])
+    assert b"".join(tokens[i] for i in first[0]) == f"{word} {word}".encode()
+    assert first[1].tolist() == again[0].tolist() and len(again[1]) == 0
+    assert all(len(t) <= byte_bpe.LONGEST for t in encoder.cache.keys() - encoder.whole.keys())
+
+
 def test_token_files(docs_of, odd_rows, spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
