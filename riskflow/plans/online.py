@@ -12,7 +12,7 @@ from riskflow.operators import balance, encode, score, validate
 from riskflow.operators.ids import next_id
 from riskflow.operators.store import RecordStore
 from riskflow.plans import views
-from riskflow.plans.jobs import IntakeResult, score_batch, train_job
+from riskflow.plans.jobs import IntakeResult, score_batch, spread, train_job
 from riskflow.schema import INTAKE, INTAKE_COLUMNS, TARGET, without_steps
 from riskflow.sources import readers, writers
 from riskflow.streaming import audit, flows, intake
@@ -183,7 +183,7 @@ def stream_arbitrate_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------- models with a known answer --
-#: Partitions of a fit, and of scoring.
+#: Partitions of a fit, and of scoring, at least.
 PARTITIONS = 8
 KINDS = ("forest", "gbt", "svc")
 _learned: dict[tuple[str, str], dict[str, str]] = {}
@@ -201,7 +201,7 @@ def learned_models(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = KI
 
 def _encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     complete = validate.drop_incomplete(views.records(spark, sf_dir))
-    return encode.encode(complete.repartition(PARTITIONS))
+    return encode.encode(spread(complete, PARTITIONS))
 
 
 def _scored(rows: DataFrame, kind: str, model: Model) -> DataFrame:

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow import workspace
-from riskflow.plans import queries, views
-from riskflow.plans.jobs import score_batch, train_job
+from riskflow.plans import jobs, online, queries, views
+from riskflow.plans.jobs import score_batch, train_job, training_side, write_training_table
 from riskflow.schema import INTAKE, without_steps
 from riskflow.sources.readers import load_model
 
@@ -51,6 +51,18 @@ def test_scratch_folder_comes_from_the_session(spark):
         assert workspace.run_dir(spark, "x").startswith(configured.rstrip("/"))
 
 
+def test_partitions_grow_with_the_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(jobs, "PARTITION_ROWS", 50)
+    path = write_training_table(spark, views.intake(spark, sf_dir))
+    side = training_side(spark, path, "train", 8)
+    n = side.count()
+    assert n > 400 and side.rdd.getNumPartitions() == -(-n // 50)
+    assert training_side(spark, path, "train", n).rdd.getNumPartitions() == n
+    encoded = online._encoded(spark, sf_dir)
+    n = encoded.count()
+    assert encoded.rdd.getNumPartitions() == -(-n // 50)
+
+
 class _Conf(dict):
     def get(self, key, default=None):
         return dict.get(self, key, default)
