@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskflow import workspace
+from riskflow.operators.train import train_forest
 from riskflow.plans import jobs, online, queries, views
 from riskflow.plans.jobs import score_batch, train_job, training_side, write_training_table
 from riskflow.schema import INTAKE, without_steps
@@ -63,6 +64,14 @@ def test_partitions_grow_with_the_rows(spark, sf_dir, monkeypatch):
     assert encoded.rdd.getNumPartitions() == -(-n // 50)
 
 
+def test_forest_keeps_no_table_of_node_ids(spark, sf_dir):
+    side = training_side(spark, write_training_table(spark, views.intake(spark, sf_dir)), "train", 4)
+    forest = train_forest(side, trees=5, depth=5)
+    assert not forest.getCacheNodeIds()
+    cached = train_forest(side, trees=5, depth=5, cacheNodeIds=True)
+    assert forest.toDebugString.split("\n", 1)[1] == cached.toDebugString.split("\n", 1)[1]
+
+
 class _Conf(dict):
     def get(self, key, default=None):
         return dict.get(self, key, default)
