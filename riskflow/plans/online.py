@@ -16,7 +16,7 @@ from riskflow.plans.jobs import IntakeResult, score_batch, spread, train_job
 from riskflow.schema import INTAKE, INTAKE_COLUMNS, TARGET, without_steps
 from riskflow.sources import readers, writers
 from riskflow.streaming import audit, flows, intake
-from riskflow.workspace import run_dir
+from riskflow.workspace import run_dir, write_once
 
 RULES = without_steps()
 LOOKUP_IDS = (0, 42, 1234, 9_999_999_999)
@@ -135,9 +135,10 @@ def stream_state_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes of the micro-batches when one file at a time is let in."""
     root = run_dir(spark, "stream-batches")
-    records = views.records(spark, sf_dir)
+    records = write_once(views.records(spark, sf_dir), "records")
     for part in _arrivals(records, "id"):
-        part.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        # A file is written by one task; all that this task does is to copy rows that many have written.
+        write_once(part, "arrival").coalesce(1).write.mode("append").parquet(f"{root}/landing")
     landed = readers.read_intake_stream(spark, f"{root}/landing", INTAKE, max_files=1)
     query = flows.start_append(landed, f"{root}/out", f"{root}/checkpoint")
     query.awaitTermination()

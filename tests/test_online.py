@@ -182,3 +182,17 @@ def test_admission_bounds_each_batch(spark, folder):
 
 def test_queries_run_in_several_batches(spark, sf_dir):
     assert online.stream_batches(spark, sf_dir).count() == online.ARRIVALS
+
+
+def test_batches_are_built_by_many_tasks(spark, sf_dir, folder, monkeypatch):
+    made = spark.range(0, 1000, 1, 8).withColumn("age", F.spark_partition_id())
+    rest = [F.lit(None).cast(f.dataType).alias(f.name) for f in INTAKE if f.name not in ("id", "age")]
+    made = made.select("id", "age", *rest).select(*INTAKE.names)
+    monkeypatch.setattr(online.views, "records", lambda *_: made)
+    monkeypatch.setattr(online, "run_dir", lambda *_: folder)
+    sizes = online.stream_batches(spark, sf_dir).collect()
+    assert sorted((r.batch, r.n) for r in sizes) == [(i, 250) for i in range(4)]
+    landed = spark.read.parquet(f"{folder}/landing")
+    assert len(landed.inputFiles()) == 4
+    # Each row tells which task built it; one task alone would have called itself 0.
+    assert {r.age for r in landed.select("age").distinct().collect()} == set(range(8))
