@@ -19,7 +19,9 @@ ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,6 +39,12 @@ from riskflow.workspace import run_dir
 
 #: Words whose ids a worker remembers; then it starts afresh.
 CACHE = 1_000_000
+#: Runs of letters that are encoded as one text.
+RUN = 128
+#: How a tokenizer parts words, for which letters and marks may be encoded apart.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Letters of Latin-1, then printable ASCII that is neither letter nor digit, without the apostrophe.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 #: A file of ids is closed when it has so many bytes or documents.
 FILE_BYTES, FILE_DOCS = 1 << 30, 1 << 20
 #: Ids and documents that are read at a time.
@@ -50,12 +58,70 @@ def _open_folder(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder)
 
 
+def _last_tokens(definition: str) -> np.ndarray | None:
+    """Whether each id ends a run of letters, if the tokenizer marks ends, ignores case and parts letters
+    from marks as ``SPLIT`` does; else None.
+    """
+    known = json.loads(definition)
+    model, steps = known["model"], (known["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    normal = [step["type"] for step in (known["normalizer"] or {}).get("normalizers") or []]
+    split = {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+    suffix = model.get("end_of_word_suffix")
+    parts = steps[0] == split and normal == ["NFC", "Replace", "Lowercase"] and not model.get("dropout")
+    if not (suffix and parts) or any(PLAIN.fullmatch(t["content"]) for t in known["added_tokens"]):
+        return None
+    last = np.zeros(1 + max(model["vocab"].values()), bool)
+    last[[number for token, number in model["vocab"].items() if token.endswith(suffix)]] = True
+    return last
+
+
 class WordEncoder:
-    """Encodes texts word by word; the tokenizer never joins what white space parts."""
+    """Encodes texts word by word; the tokenizer never joins what white space parts.
+
+    Where it allows, a new word of Latin letters with marks behind is encoded as its letters in lower
+    case and its marks, and ``RUN`` runs of letters are handed over as one text.
+    """
 
     def __init__(self, definition: str, dtype: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on each core
         self.tokenizer, self.dtype, self.cache = Tokenizer.from_str(definition), dtype, {}
+        self.last = _last_tokens(definition)
+
+    def _learn_whole(self, words: list[bytes]) -> None:
+        found = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        for word, encoding in zip(words, found, strict=True):
+            self.cache[word] = np.array(encoding.ids, self.dtype).tobytes()
+
+    def _learn_letters(self, words: list[bytes]) -> None:
+        runs = [words[i : i + RUN] for i in range(0, len(words), RUN)]
+        texts = [b" ".join(run).decode() for run in runs]
+        for run, encoding in zip(runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(encoding.ids, self.dtype)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(run):
+                self._learn_whole(run)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(run, (ends * ids.itemsize).tolist(), strict=True):
+                self.cache[word], start = raw[start:end], end
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Put new words into the cache."""
+        if self.last is None:
+            return self._learn_whole(words)
+        parted, letters, whole = [], set(), set()
+        for word in words:
+            if plain := PLAIN.fullmatch(word.decode()):
+                core, marks = plain[1].lower().encode(), plain[2].encode()
+                parted.append((word, core, marks))
+                letters.add(core)
+                whole.add(marks)
+            else:
+                whole.add(word)
+        self._learn_whole([w for w in whole if w not in self.cache])
+        self._learn_letters([w for w in letters if w not in self.cache])
+        for word, core, marks in parted:
+            self.cache[word] = self.cache[core] + self.cache[marks]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian ids of each text."""
@@ -63,9 +129,7 @@ class WordEncoder:
             self.cache = {}
         cut = [(text or "").encode().split() for text in texts]
         new = list({w for words in cut for w in words if w not in self.cache})
-        found = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        for word, encoding in zip(new, found, strict=True):
-            self.cache[word] = np.array(encoding.ids, self.dtype).tobytes()
+        self._learn(new)
         get = self.cache.__getitem__
         return [b"".join(map(get, words)) for words in cut]
 

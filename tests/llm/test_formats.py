@@ -193,3 +193,34 @@ def test_ranges_of_token_files(monkeypatch):
     offsets = np.array([0, 4, 8, 40, 41, 42, 43, 44, 50])
     assert list(token_files._runs(offsets)) == [(0, 2), (2, 3), (3, 6), (6, 8)]
     assert list(token_files._runs(np.array([0]))) == []
+
+
+LATIN = st.text("aZéÀßÿ×÷.,'!~19_ \u0301ſΣ\u00a0\x85«»<|>\n", max_size=40)
+
+
+@given(LATIN | st.text())
+def test_words_parted_from_marks_have_the_ids_of_the_whole_text(text):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as source:
+        definition = source.read()
+    encoder = token_files._worker_encoder(definition, "<u2")
+    whole = token_files.WordEncoder.__new__(token_files.WordEncoder)
+    whole.tokenizer, whole.dtype, whole.cache, whole.last = encoder.tokenizer, "<u2", {}, None
+    assert encoder.encode([text]) == whole.encode([text])
+
+
+def test_letters_are_encoded_once_whatever_their_case_and_marks():
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as source:
+        encoder = token_files.WordEncoder(source.read(), "<u2")
+    given_texts, tokenizer = [], encoder.tokenizer
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            given_texts.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Counting()
+    text = "Été été, ÉTÉ!! other Other. don't"
+    (found,) = encoder.encode([text])
+    assert np.frombuffer(found, "<u2").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    letters = [t for t in given_texts if "été" in t]
+    assert len(letters) == 1 and sorted(letters[0].split()) == ["other", "été"]
