@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from riskflow.functions.hashing import in_fraction
 from riskflow.operators.balance import with_class_weights
 from riskflow.operators.encode import training_set
-from riskflow.operators.ids import assign_ids
+from riskflow.operators.ids import assign_ids, is_unassigned
 from riskflow.operators.metrics import evaluate_hard, evaluate_raw
 from riskflow.operators.review import audit
 from riskflow.operators.store import RecordStore
@@ -94,15 +94,20 @@ def training_side(
 
     The balance is a subquery over the label column of the table.  Rows are laid
     out by id, so that a fit is the same on any cluster; in ``partitions`` parts, more
-    for a side of more than ``PARTITION_ROWS`` rows a part.
+    for a side of more than ``PARTITION_ROWS`` rows a part.  On a side of more than
+    ``PARTITION_ROWS`` rows, those without an id are laid out by what they hold: by id
+    they would all be in one part.
     """
     table = spark.read.schema(TRAINING_TABLE).parquet(path)
     on_side = F.col("side") == side
+    rows = table.where(on_side).count()
+    content = F.xxhash64(vector_to_array("features"), "label")
+    place = F.col(ID) if rows <= PARTITION_ROWS else F.when(is_unassigned(), content).otherwise(F.col(ID))
     return (
         with_class_weights(table)
         .where(on_side)
-        .repartition(partitions_for(table.where(on_side).count(), partitions), ID)
-        .sortWithinPartitions(ID, F.xxhash64(vector_to_array("features"), "label"))
+        .repartition(partitions_for(rows, partitions), place)
+        .sortWithinPartitions(ID, content)
     )
 
 

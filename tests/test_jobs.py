@@ -64,6 +64,22 @@ def test_partitions_grow_with_the_rows(spark, sf_dir, monkeypatch):
     assert encoded.rdd.getNumPartitions() == -(-n // 50)
 
 
+def _part_sizes(side):
+    return [r["count"] for r in side.groupBy(F.spark_partition_id()).count().collect()]
+
+
+@pytest.mark.parametrize("missing", [None, -1])
+def test_rows_without_id_do_not_share_a_task(spark, sf_dir, monkeypatch, missing):
+    """By id they were all in one part, however many there are."""
+    monkeypatch.setattr(jobs, "PARTITION_ROWS", 50)
+    records = views.intake(spark, sf_dir).withColumn("id", F.lit(missing).cast("bigint"))
+    path = write_training_table(spark, records)
+    # The side is drawn by the id, if there is one: all rows with -1 are on one side.
+    sizes = [n for side in ("train", "test") for n in _part_sizes(training_side(spark, path, side, 2))]
+    assert sum(sizes) == spark.read.parquet(path).count() > 400
+    assert max(sizes) < 100
+
+
 def test_forest_keeps_no_table_of_node_ids(spark, sf_dir):
     side = training_side(spark, write_training_table(spark, views.intake(spark, sf_dir)), "train", 4)
     forest = train_forest(side, trees=5, depth=5)
