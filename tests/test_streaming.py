@@ -6,7 +6,7 @@ from riskflow.operators.encode import encode
 from riskflow.operators.upsert import latest_by_key
 from riskflow.operators.validate import validate_records
 from riskflow.operators.verdict import verdicts
-from riskflow.plans import queries, views
+from riskflow.plans import jobs, queries, views
 from riskflow.schema import INTAKE, without_steps
 from riskflow.sources.readers import read_intake_stream
 from riskflow.streaming import flows
@@ -43,6 +43,28 @@ def test_stream_scores_equal_batch_scores(spark, landing, models, tmp_path):
     assert streamed.exceptAll(batch).count() == batch.exceptAll(streamed).count() == 0
 
 
+def test_a_micro_batch_is_scored_in_the_stated_number_of_tasks(spark, landing, models, tmp_path):
+    accepted = flows.accepted_stream(read_intake_stream(spark, landing, INTAKE), RULES)
+    for parts in (None, 7):
+        out = f"{tmp_path}/out-{parts}"
+        flows.start_scoring(accepted, models, out, f"{out}-checkpoint", partitions=parts).awaitTermination()
+    dealt = spark.read.parquet(f"{tmp_path}/out-7")
+    assert len(dealt.inputFiles()) == 7
+    plain = spark.read.parquet(f"{tmp_path}/out-None")
+    assert dealt.exceptAll(plain).count() == plain.exceptAll(dealt).count() == 0
+
+
+def test_tasks_that_score_a_stream_grow_with_the_records(spark, sf_dir, monkeypatch):
+    """They followed the files: one task for a table that came as one file."""
+    queries.fitted_models(spark, sf_dir)
+    monkeypatch.setattr(jobs, "PARTITION_ROWS", 20)
+    n = views.records(spark, sf_dir).count()
+    scored = queries.stream_score(spark, sf_dir)
+    assert len(scored.inputFiles()) == -(-n // 20) > 32
+    one_file = queries.score_ensemble(spark, sf_dir)
+    assert one_file.rdd.getNumPartitions() > 32
+
+
 def test_rejected_rows_are_kept(spark, landing, tmp_path):
     rejected = flows.rejected_stream(stream(spark, landing), RULES)
     flows.start_append(rejected, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
